@@ -58,13 +58,13 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], order: list[Column], n
                     salts: int = 32, rank_col: str = "rank") -> DataFrame:
     """First n rows per group in ``order``, safe for a group holding most rows.
 
-    Stage 1 ranks inside (group, salt) sub-groups, salt = hash of the order
-    keys, so a hot group is spread over ``salts`` tasks and each keeps at most
+    Stage 1 ranks inside (group, salt) sub-groups, salt = hash of the row,
+    so a hot group is spread over ``salts`` tasks and each keeps at most
     n rows.  Stage 2 ranks the <= n x salts survivors per group.  The result
     is exact because the global top n of a group is contained in the union
     of the sub-group top n's.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
     w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
     cand = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
     w2 = Window.partitionBy(*group_cols).orderBy(*order)

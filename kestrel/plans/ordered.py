@@ -7,6 +7,11 @@ many chunks, the window runs per (group, chunk), and a tiny table of chunk
 totals (at most groups + chunks rows, per group at most ``chunks``) turns
 local values into global ones.  The join back is left to AQE, which
 broadcasts that table only when its runtime size is under the threshold.
+
+Range bounds come from a random sample taken each time the exchange runs,
+so chunk ids are assigned once and persisted with a reliable checkpoint;
+the per-row branch and the chunk-total branch then see the same chunks
+(and an executor loss re-reads the checkpoint instead of re-sampling).
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import cut_lineage
+
 
 def _chunks(df: DataFrame, chunks: int | None) -> int:
     if chunks:
@@ -21,8 +28,13 @@ def _chunks(df: DataFrame, chunks: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _chunked(df: DataFrame, by: list[str], order: list[Column], p: int) -> DataFrame:
+    r = df.repartitionByRange(p, *[F.col(b) for b in by], *order).withColumn("_chunk", F.spark_partition_id())
+    return cut_lineage(r)
+
+
 def running(df: DataFrame, by: list[str], order: list[Column], sums: dict[str, Column] | None = None,
-            rank_col: str | None = "rn", chunks: int | None = None) -> DataFrame:
+            rank_col: str | None = "rn", chunks: int | None = None, keep_chunk: bool = False) -> DataFrame:
     """Add ``rank_col`` (1-based row number in ``order`` within ``by``) and, for
     each ``name -> expr`` in ``sums``, the inclusive running sum ``name``.
 
@@ -33,7 +45,7 @@ def running(df: DataFrame, by: list[str], order: list[Column], sums: dict[str, C
     base = df
     for name, expr in sums.items():
         base = base.withColumn(f"_v_{name}", expr)
-    r = base.repartitionByRange(p, *[F.col(b) for b in by], *order).withColumn("_chunk", F.spark_partition_id())
+    r = _chunked(base, by, order, p)
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     r = r.withColumn("_lrn", F.row_number().over(w))
@@ -49,15 +61,23 @@ def running(df: DataFrame, by: list[str], order: list[Column], sums: dict[str, C
         out = out.withColumn(rank_col, F.col("_lrn") + F.col("_o_rn"))
     for name in sums:
         out = out.withColumn(name, F.col(f"_l_{name}") + F.col(f"_o_{name}"))
-    drop = ["_chunk", "_lrn", "_cnt", "_o_rn"] + [f"_{p}_{n}" for n in sums for p in ("v", "l", "o")]
+    drop = ["_lrn", "_cnt", "_o_rn"] + [f"_{p}_{n}" for n in sums for p in ("v", "l", "o")]
+    if not keep_chunk:
+        drop.append("_chunk")
     return out.drop(*drop)
 
 
 def suffix_max(df: DataFrame, by: list[str], order: list[Column], value: str, out_col: str,
                chunks: int | None = None) -> DataFrame:
-    """``out_col`` = max of ``value`` over this row and all later rows of its group."""
-    p = _chunks(df, chunks)
-    r = df.repartitionByRange(p, *[F.col(b) for b in by], *order).withColumn("_chunk", F.spark_partition_id())
+    """``out_col`` = max of ``value`` over this row and all later rows of its group.
+
+    Input that still carries ``_chunk`` from ``running(keep_chunk=True)`` is
+    reused as is: same chunks, and the window reuses the existing partitioning.
+    """
+    if "_chunk" in df.columns:
+        r = df
+    else:
+        r = _chunked(df, by, order, _chunks(df, chunks))
     w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     r = r.withColumn("_lmax", F.max(value).over(w))
     tot = r.groupBy(*by, "_chunk").agg(F.max(value).alias("_cmax"))
