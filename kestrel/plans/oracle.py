@@ -37,5 +37,10 @@ VIEWS = {
 }
 
 
+VIEWS["kp"] = """SELECT sample_id, class_id, pt, x AS gx, y AS gy,
+        x + CAST(0.01 AS DOUBLE) * ((sample_id*31+pt)%7-3) AS px, y AS py, (sample_id+pt)%5 <> 0 AS visible
+        FROM landmarks"""
+
+
 def with_views(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names) + "\n"

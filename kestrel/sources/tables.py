@@ -109,3 +109,13 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_suppkey").alias("cloud_id"), lineitem_row_id().alias("pt_id"),
                      F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("y"),
                      (F.col("l_tax") * 100).alias("z"), F.col("l_extendedprice").alias("feat"))
+
+
+def keypoint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ground truth = landmarks; prediction = x shifted by 0.01*((id*31+pt)%7-3);
+    visible when (id+pt)%5 <> 0.  One row per (sample, point)."""
+    lm = landmarks_long(spark, sf_dir)
+    shift = F.lit(0.01) * ((F.col("sample_id") * 31 + F.col("pt")) % 7 - 3)
+    return lm.select("sample_id", "class_id", "pt", F.col("x").alias("gx"), F.col("y").alias("gy"),
+                     (F.col("x") + shift).alias("px"), F.col("y").alias("py"),
+                     ((F.col("sample_id") + F.col("pt")) % 5 != 0).alias("visible"))
