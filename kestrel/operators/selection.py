@@ -62,8 +62,12 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], order: list[Column], n
     so a hot group is spread over ``salts`` tasks and each keeps at most
     n rows.  Stage 2 ranks the <= n x salts survivors per group.  The result
     is exact because the global top n of a group is contained in the union
-    of the sub-group top n's.
+    of the sub-group top n's.  ``salts=1`` is a single window, for groups
+    that are bounded by construction (e.g. one query's neighbour candidates).
     """
+    if salts <= 1:
+        w = Window.partitionBy(*group_cols).orderBy(*order)
+        return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
     w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
     cand = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)
