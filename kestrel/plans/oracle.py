@@ -24,7 +24,8 @@ VIEWS = {
         l_partkey%50+l_discount*20 AS x1, l_suppkey%30+l_tax*20 AS y1,
         l_partkey%50+l_discount*20+20+l_quantity AS x2, l_suppkey%30+l_tax*20+20+l_quantity/2 AS y2,
         l_linenumber=3 AS ignore_flag FROM lineitem WHERE l_linenumber IN (1,3)""",
-    "sensor_readings": """SELECT user_id AS device, event_id AS seq, epoch_ms(ts) AS ts_ms, value FROM events""",
+    "sensor_readings": """SELECT user_id AS device, event_id AS seq, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts_ms,
+        value FROM events""",
     "commands": """SELECT event_id AS cmd_id, CASE event_type
         WHEN 'click' THEN 'GET /forward HTTP/1.1' WHEN 'view' THEN 'GET /backward HTTP/1.1'
         WHEN 'purchase' THEN concat('GET /turn?angle=',

@@ -84,7 +84,12 @@ def gt_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(F.col("user_id").alias("device"), F.col("event_id").alias("seq"),
-                     F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), "value")
+                     event_ms(F.col("ts")).alias("ts_ms"), "value")
+
+
+def event_ms(ts: Column) -> Column:
+    """Epoch milliseconds, microseconds floored (the same rule in the DuckDB text)."""
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / 1000).cast("long")
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
