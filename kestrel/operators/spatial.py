@@ -12,9 +12,10 @@ so the answer is exact while the work stays proportional to local density.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.features import spread
 from kestrel.operators.selection import top_n_per_group
 from kestrel.plans.ordered import running
 from kestrel.session import cut_lineage
@@ -70,6 +71,7 @@ def _cell(col: str, cell: float):
 
 def _ring_candidates(q: DataFrame, p: DataFrame, key: str, cell: float, ring: int) -> DataFrame:
     offs = F.sequence(F.lit(-ring), F.lit(ring))
+    q = spread(q)  # the (2r+1)^3 expansion must not run in the few tasks of a small input
     qc = (q.withColumn("_ox", F.explode(offs)).withColumn("_oy", F.explode(offs)).withColumn("_oz", F.explode(offs))
            .withColumn("_cx", _cell("qx", cell) + F.col("_ox")).withColumn("_cy", _cell("qy", cell) + F.col("_oy"))
            .withColumn("_cz", _cell("qz", cell) + F.col("_oz")).drop("_ox", "_oy", "_oz"))
@@ -101,24 +103,29 @@ def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pi
     returns all its points (the reference pads with index 0 instead).
     """
     p = points.select(key, pid, *XYZ)
-    pending = queries.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ])
-    sizes = points.groupBy(key).agg(F.count(F.lit(1)).alias("_gsize"))
+    pending = cut_lineage(queries.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ]))
+    # one row per group (cloud): a dimension, checked small before broadcasting
+    sizes = cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_gsize")))
+    if sizes.count() > 1_000_000:
+        raise ValueError("too many groups to broadcast their sizes; partition the call by group")
     out = None
     ring = 1
     while True:
-        cand = _ring_candidates(pending, p, key, cell, ring)
-        # one query's candidates are bounded by the ring volume: a single window
-        top = top_n_per_group(cand, [key, qid], [F.col("d2"), F.col(pid)], k, salts=1)
-        stats = top.groupBy(key, qid).agg(F.max("d2").alias("_kd2"), F.count(F.lit(1)).alias("_found"))
-        chk = (pending.join(stats, [key, qid], "left").join(sizes, key)
-               .withColumn("_ok", (F.coalesce(F.col("_found"), F.lit(0)) >= F.least(F.col("_gsize"), F.lit(k)))
-                           & ((F.col("_kd2") < _margin2(cell, ring)) | (F.col("_gsize") <= F.col("_found"))
-                              | F.lit(ring >= max_ring))))
-        chk = cut_lineage(chk)
-        done = top.join(chk.where("_ok").select(key, qid), [key, qid], "left_semi") \
-                  .select(key, qid, "rank", pid, "d2")
+        # keep the shuffled rows narrow: ids, distance and the query's certificate
+        cand = _ring_candidates(pending, p, key, cell, ring).select(
+            key, qid, pid, "d2", _margin2(cell, ring).alias("_m2"))
+        # one query's candidates are bounded by the ring volume: plain windows
+        wq = Window.partitionBy(key, qid)
+        top = (cand.withColumn("rank", F.row_number().over(wq.orderBy(F.col("d2"), F.col(pid))))
+                   .where(F.col("rank") <= k)
+                   .withColumn("_kd2", F.max("d2").over(wq)).withColumn("_found", F.count(F.lit(1)).over(wq))
+                   .join(F.broadcast(sizes), key))
+        ok = ((F.col("_found") >= F.least(F.col("_gsize"), F.lit(k)))
+              & ((F.col("_kd2") < F.col("_m2")) | (F.col("_gsize") <= F.col("_found")) | F.lit(ring >= max_ring)))
+        top = cut_lineage(top.withColumn("_ok", ok))
+        done = top.where("_ok").select(key, qid, "rank", pid, "d2")
         out = done if out is None else out.unionByName(done)
-        pending = chk.where(~F.col("_ok")).select(key, qid, "qx", "qy", "qz")
+        pending = cut_lineage(pending.join(done.select(key, qid).distinct(), [key, qid], "left_anti"))
         if pending.isEmpty():
             break
         ring *= 2

@@ -16,6 +16,7 @@ the per-row branch and the chunk-total branch then see the same chunks
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,13 @@ def _chunks(df: DataFrame, chunks: int | None) -> int:
 
 
 def _chunked(df: DataFrame, by: list[str], order: list[Column], p: int) -> DataFrame:
-    r = df.repartitionByRange(p, *[F.col(b) for b in by], *order).withColumn("_chunk", F.spark_partition_id())
-    return cut_lineage(r)
+    # The range bounds are sampled by a separate job over the input; persisting
+    # it first keeps an expensive upstream from being computed twice.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    r = src.repartitionByRange(p, *[F.col(b) for b in by], *order).withColumn("_chunk", F.spark_partition_id())
+    out = cut_lineage(r)
+    src.unpersist()
+    return out
 
 
 def running(df: DataFrame, by: list[str], order: list[Column], sums: dict[str, Column] | None = None,
@@ -68,20 +74,24 @@ def running(df: DataFrame, by: list[str], order: list[Column], sums: dict[str, C
 
 
 def suffix_max(df: DataFrame, by: list[str], order: list[Column], value: str, out_col: str,
-               chunks: int | None = None) -> DataFrame:
+               reverse_order: list[Column], chunks: int | None = None) -> DataFrame:
     """``out_col`` = max of ``value`` over this row and all later rows of its group.
 
-    Input that still carries ``_chunk`` from ``running(keep_chunk=True)`` is
-    reused as is: same chunks, and the window reuses the existing partitioning.
+    ``reverse_order`` is ``order`` with every direction flipped: the suffix
+    max is computed as a running max in reverse order, because Spark
+    evaluates a (current row, unbounded following) frame by re-aggregating
+    the rest of the partition for every row (quadratic).  Input that still
+    carries ``_chunk`` from ``running(keep_chunk=True)`` is reused as is.
     """
     if "_chunk" in df.columns:
         r = df
     else:
         r = _chunked(df, by, order, _chunks(df, chunks))
-    w = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    w = Window.partitionBy(*by, "_chunk").orderBy(*reverse_order) \
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     r = r.withColumn("_lmax", F.max(value).over(w))
     tot = r.groupBy(*by, "_chunk").agg(F.max(value).alias("_cmax"))
-    wc = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    wc = Window.partitionBy(*by).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*by, "_chunk", F.max("_cmax").over(wc).alias("_later"))
     out = r.join(off, [*by, "_chunk"])
     return out.withColumn(out_col, F.greatest("_lmax", F.coalesce("_later", "_lmax"))) \
