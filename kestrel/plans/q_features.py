@@ -114,3 +114,35 @@ def feature_vectors_selected(spark, sf_dir, n_angles=20, n_ratios=20):
     out = feat.feature_vector(lm, ang, rat)
     return out.select("sample_id", "class_id", F.size("features").alias("n_features"),
                       F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"))
+
+
+_CFG_SQL = (with_views("landmarks") + f", vals AS ({_ANGLE_SQL})" + _anova_sql("i, j, k")
+            + ", ta AS (" + _top_sql(["i", "j", "k"], 20) + ")"
+            + f", vals2 AS ({_RATIO_SQL})" + _anova_sql("i, j, k, m").replace("g AS (", "g_r AS (", 1)
+            .replace("FROM g)", "FROM g_r)").replace("g2 AS", "g2_r AS").replace("FROM g2 ", "FROM g2_r ")
+            .replace("s AS (", "s_r AS (", 1).replace("FROM s)", "FROM s_r)").replace("f AS (", "f_r AS (", 1)
+            .replace("FROM vals ", "FROM vals2 ")
+            + ", tr AS (" + _top_sql(["i", "j", "k", "m"], 20).replace("FROM f ", "FROM f_r ") + ")\n"
+            + """SELECT 'angle_triplets' AS kind, CAST(rank AS INTEGER) AS rank, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+  CAST(k AS INTEGER) AS k, CAST(NULL AS INTEGER) AS m, f_score FROM ta
+UNION ALL SELECT 'ratio_quadruplets', CAST(rank AS INTEGER), CAST(i AS INTEGER), CAST(j AS INTEGER), CAST(k AS INTEGER),
+  CAST(m AS INTEGER), f_score FROM tr""")
+
+
+@register("feature_config_roundtrip", _CFG_SQL)
+def feature_config_roundtrip(spark, sf_dir):
+    """The selected triplets and quadruplets written as the sectioned text
+    config and parsed back (ranks, indices, F scores)."""
+    import uuid
+
+    from kestrel.session import checkpoint_dir
+    from kestrel.sources.config_text import read_feature_config, write_feature_config
+    ang = anova_angles_top(spark, sf_dir).select("rank", F.array("i", "j", "k").cast("array<int>").alias("idx"),
+                                                 "f_score")
+    rat = anova_ratios_top(spark, sf_dir).select("rank", F.array("i", "j", "k", "m").cast("array<int>").alias("idx"),
+                                                 "f_score")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/feature-config-{uuid.uuid4().hex}"
+    write_feature_config({"angle_triplets": ang, "ratio_quadruplets": rat}, path)
+    c = read_feature_config(spark, path)
+    return c.select("kind", "rank", *[F.get("idx", n).alias(c) for n, c in enumerate("ijkm")],
+                    F.round("f_score", 6).alias("f_score"))
