@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kestrel.session import cut_lineage
 from kestrel.sources.tables import table
 
-__all__ = ["SPACES", "WORD_PATTERN", "cut_lineage", "n_words", "table", "text_slices", "whole_rows"]
-
-#: White space of the word rule: space and U+0009..U+000D (fixed values of the contract).
-SPACES = " \t\n\x0b\x0c\r"
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+__all__ = ["cut_lineage", "document_key", "n_words", "table", "text_slices"]
 
 
 def n_words(text: Column) -> Column:
@@ -22,9 +18,9 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")
 
 
-def whole_rows(spark: SparkSession, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Just ``columns``: what an operator reads, so that the scan prunes the rest."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def document_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """64-bit key of a document, by its id (which may be null or repeat) and text."""
+    return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
 
 
 def text_slices(batches: Iterator, size: int = 1 << 20) -> Iterator[tuple]:

@@ -26,12 +26,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut_lineage, text_slices
+from kestrel.llm.common import cut_lineage, document_key, text_slices
 from kestrel.llm.components import components
 
 #: Pairs compared at once in a part, and pairs that a salted part should not exceed.
 TILE = (256, 8192)
 PART_PAIRS = 50_000_000
+#: Fingerprints for each bucket of parts that a task takes at once (about 40 rows each).
+BUCKET_FPS = 2_000
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -55,16 +57,17 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) per row; fp holds the fingerprint's 64 bits as a signed long.  Null text: no words, so 0."""
+    """(doc_id, uid, fp) per row: uid is ``document_key``, fp the fingerprint's 64 bits as a signed long.  Null text: no words, so 0."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for (ids,), texts in text_slices(batches):
+        for (ids, uids), texts in text_slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(uids, pa.int64()), pa.array(fps)], names=["doc_id", "uid", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), document_key(id_col, text_col).alias("uid"),
+                       F.col(f"`{text_col}`").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, uid long, fp long")
 
 
 class Anchors:
@@ -123,43 +126,55 @@ def _at_anchors(blocks: int, spread: int):
     return run
 
 
-def _forest(max_bits: int):
+def _forest(here: np.ndarray, there: np.ndarray, max_bits: int) -> np.ndarray:
+    """Spanning links (k, 2) of the home and replicated fingerprints of one part of an anchor."""
+    nodes = np.unique(np.concatenate([here, there]))
+    at_here, at_there = np.searchsorted(nodes, here), np.searchsorted(nodes, there)
+    label = np.arange(len(nodes))
+
+    def root(i: int) -> int:
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    links = []
+    for i in range(0, len(here), TILE[0]):
+        for j in range(0, len(there), TILE[1]):
+            a, b = np.nonzero(np.bitwise_count(here[i:i + TILE[0], None] ^ there[None, j:j + TILE[1]]) <= max_bits)
+            a, b = at_here[i + a], at_there[j + b]
+            while True:  # links whose ends aren't joined yet: one of each tree at a time
+                while not np.array_equal(flat := label[label], label):
+                    label = flat
+                open_ = label[a] != label[b]
+                if not open_.any():
+                    break
+                a, b = a[open_], b[open_]
+                _, first = np.unique(np.maximum(label[a], label[b]), return_index=True)
+                for x, y in zip(a[first].tolist(), b[first].tolist(), strict=True):
+                    rx, ry = root(x), root(y)
+                    if rx != ry:
+                        label[max(rx, ry)] = min(rx, ry)
+                        links.append((x, y))
+    return nodes[np.array(links, np.int64).reshape(-1, 2)]
+
+
+def _forests(max_bits: int):
     def run(pdf):
-        """Spanning links of the home and replicated rows of one (anchor, part)."""
+        """Links of a bucket of whole (anchor, part)s."""
         import pandas as pd
 
-        here = np.sort(pdf.loc[pdf["home"], "fp"].to_numpy().view(np.uint64))
-        there = np.sort(pdf.loc[~pdf["home"], "fp"].to_numpy().view(np.uint64))
-        nodes = np.unique(np.concatenate([here, there]))
-        at_here, at_there = np.searchsorted(nodes, here), np.searchsorted(nodes, there)
-        label = np.arange(len(nodes))
-
-        def root(i):
-            while label[i] != i:
-                label[i] = label[label[i]]
-                i = label[i]
-            return i
-
-        links = []
-        for i in range(0, len(here), TILE[0]):
-            for j in range(0, len(there), TILE[1]):
-                a, b = np.nonzero(np.bitwise_count(here[i:i + TILE[0], None] ^ there[None, j:j + TILE[1]]) <= max_bits)
-                a, b = at_here[i + a], at_there[j + b]
-                while True:  # all links of the tile whose ends aren't joined yet, a vector at a time
-                    while not np.array_equal(flat := label[label], label):
-                        label = flat
-                    open_ = label[a] != label[b]
-                    if not open_.any():
-                        break
-                    a, b = a[open_], b[open_]
-                    _, first = np.unique(np.maximum(label[a], label[b]), return_index=True)
-                    for x, y in zip(a[first].tolist(), b[first].tolist(), strict=True):
-                        rx, ry = root(x), root(y)
-                        if rx != ry:
-                            label[max(rx, ry)] = min(rx, ry)
-                            links.append((x, y))
-        pairs = np.array(links, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"u": nodes[pairs[:, 0]].view(np.int64), "v": nodes[pairs[:, 1]].view(np.int64)})
+        key = pdf["anchor"].to_numpy() << 20 | pdf["part"].to_numpy()
+        order = np.argsort(key, kind="stable")
+        fp, home = pdf["fp"].to_numpy().view(np.uint64)[order], pdf["home"].to_numpy()[order]
+        cuts = np.flatnonzero(np.diff(key[order])) + 1
+        found = [np.empty((0, 2), np.uint64)]
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
+            f, h = fp[lo:hi], home[lo:hi]
+            if h.any() and hi - lo > 2:  # else there is just a fingerprint and its own copy
+                found.append(_forest(f[h], f[~h], max_bits))
+        pairs = np.concatenate(found).view(np.int64)
+        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
     return run
 
 
@@ -180,7 +195,16 @@ def links(distinct_fps: DataFrame, max_bits: int = 4, blocks: int = 4, part_pair
     rows = rows.join(F.broadcast(parts), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = rows.where("home").select("anchor", "fp", "home", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("part"))
     copies = rows.where("NOT home").select("anchor", "fp", "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    return own.unionByName(copies).groupBy("anchor", "part").applyInPandas(_forest(max_bits), "u long, v long")
+    buckets = max(1, distinct_fps.count() // BUCKET_FPS)
+    bucket = F.pmod(F.xxhash64("anchor", "part"), F.lit(buckets))
+    return own.unionByName(copies).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_forests(max_bits), "u long, v long")
+
+
+def _rooted(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """(fp, least, root) for each distinct fingerprint of ``rows``: its smallest doc_id and its component."""
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(links(nodes, max_bits, blocks))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4,
@@ -194,9 +218,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone has a null id.  Repeated rows come back as often as they came.
     """
     rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(nodes, max_bits, blocks))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = cut_lineage(_rooted(rows, max_bits, blocks))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 4) -> DataFrame:
+    """The row of the smallest doc_id (null last, then key) of each component of ``docs``, with all its columns; one of equal rows."""
+    rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
+    rooted = cut_lineage(_rooted(rows, max_bits, blocks).select("fp", "root"))
+    first = (rows.join(rooted, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("k"))
+             .select(F.col("k.uid").alias("_kept")))
+    keyed = docs.withColumn("_uid", document_key(id_col, text_col))
+    return keyed.join(first, F.col("_uid") == F.col("_kept"), "left_semi").dropDuplicates(["_uid"]).drop("_uid")
