@@ -59,6 +59,7 @@ class Transducer:
         self.states: dict[tuple, int] = {self.keys[0]: 0}
         self.symbol_of = np.full(0x110000, -1, np.int16)
         self.chars: list[str] = []
+        self.outside: dict[int, str] = {}  # the first character outside the vocabulary, by UTF-8 length
         self.table = np.full((4096, 96), -1, np.int32)
 
     def bpe(self, text: str) -> list[str]:
@@ -112,7 +113,7 @@ class Transducer:
             for p in np.unique(points[out < 0]).tolist():
                 char = SPACE if p == 32 else chr(p)
                 if char not in self.rank:
-                    char = ("\x01", "\x80", "\ue000", "\U0010ffff")[len(char.encode()) - 1]
+                    char = self.outside.setdefault(len(char.encode()), char)
                 if char not in self.chars:
                     self.chars.append(char)
                 self.symbol_of[p] = self.chars.index(char)
