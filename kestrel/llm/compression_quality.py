@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,10 +156,15 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, whose text scores at least ``threshold``."""
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:  # texts as binary
-        good, bad = model.compressors()
-        for texts in batches:
-            yield pd.Series(model.score(np.array([size_difference(bytes(t or b""), good, bad) for t in texts])), dtype="float64")
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    return docs.where(scored(F.col(f"`{text_col}`").cast("binary")) >= threshold)
+        good, bad = model.compressors()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):  # few texts at a time as Python objects
+                part = batch.slice(lo, 500)
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                d = np.array([size_difference((t or "").encode(), good, bad) for t in texts])
+                yield part.filter(pa.array(model.score(d) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 #: Entries that a worker keeps; beyond them the older half of its words is forgotten.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 640_000
 #: Longer stretches aren't kept.
 MEMO_BYTES = 48
 
