@@ -48,12 +48,12 @@ def filter_images(images: DataFrame, instances: DataFrame, filter_empty_gt: bool
 
 def filter_annotations(inst: DataFrame, min_w: float = 1.0, min_h: float = 1.0,
                        keep_empty: bool = True) -> DataFrame:
-    """P5: keep boxes with w > min_w and h > min_h.  With ``keep_empty`` false,
-    an image whose boxes all fail is dropped together with its rows; with it
-    true the failing boxes are simply removed."""
+    """P5: keep boxes with w > min_w and h > min_h.  As in the reference, an image
+    whose boxes all fail is dropped if ``keep_empty`` is true; if it is false the
+    image stays, as a row without a box."""
     ok = ((F.col("x2") - F.col("x1")) > min_w) & ((F.col("y2") - F.col("y1")) > min_h)
     kept = inst.where(ok)
-    if not keep_empty:
+    if keep_empty:
         return kept
     emptied = inst.select("image_id").distinct().join(kept.select("image_id").distinct(), "image_id", "left_anti")
     return kept.unionByName(emptied, allowMissingColumns=True)
@@ -107,10 +107,12 @@ def read_coco_dataset(spark, path: str) -> tuple[DataFrame, DataFrame, DataFrame
     images = raw.select(F.explode("images").alias("i")).select(
         F.col("i.id").alias("image_id"), F.col("i.width").alias("width"), F.col("i.height").alias("height"),
         F.col("i.file_name").alias("file_name"))
+    named = raw.schema["annotations"].dataType.elementType.names
+    ignore = F.coalesce(F.col("a.ignore").cast("boolean"), F.lit(False)) if "ignore" in named else F.lit(False)
     anns = raw.select(F.explode("annotations").alias("a")).select(
         F.col("a.id").alias("ann_id"), F.col("a.image_id").alias("image_id"),
         F.col("a.bbox")[0].alias("x"), F.col("a.bbox")[1].alias("y"), F.col("a.bbox")[2].alias("w"),
         F.col("a.bbox")[3].alias("h"), F.col("a.area").alias("area"), F.col("a.category_id").alias("category_id"),
-        (F.col("a.iscrowd") == 1).alias("iscrowd"), F.lit(False).alias("ignore"))
+        (F.col("a.iscrowd") == 1).alias("iscrowd"), ignore.alias("ignore"))
     cats = raw.select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"))
     return images, anns, cats

@@ -129,7 +129,8 @@ def oks(kp: DataFrame, inst: str = "sample_id", sigma: Column | float = 0.05,
         vis_thr: bool = False) -> DataFrame:
     """J10 for aligned pairs (ground truth vs prediction of the same instance):
     mean over joints of exp(-d^2 / (2 sigma)^2 / ((a_g + a_p)/2 + eps) / 2),
-    areas = keypoint-box areas.  ``vis_thr`` keeps only visible joints."""
+    areas = keypoint-box areas.  ``vis_thr`` averages over visible joints only;
+    an instance without one has similarity 0."""
     g = instance_bbox(kp, inst, "gx", "gy").select(inst, ((F.col("bx2") - F.col("bx1")) * (F.col("by2") - F.col("by1"))).alias("ag"))
     p = instance_bbox(kp, inst, "px", "py").select(inst, ((F.col("bx2") - F.col("bx1")) * (F.col("by2") - F.col("by1"))).alias("ap"))
     s = sigma if isinstance(sigma, Column) else F.lit(float(sigma))
@@ -138,9 +139,8 @@ def oks(kp: DataFrame, inst: str = "sample_id", sigma: Column | float = 0.05,
     d2 = dx * dx + dy * dy
     e = d2 / var / ((F.col("ag") + F.col("ap")) / 2 + NP_SPACING_1) / 2
     j = kp.join(g, inst).join(p, inst)
-    if vis_thr:
-        j = j.where(F.col("visible"))
-    return j.groupBy(inst).agg(F.avg(F.exp(-e)).alias("oks"))
+    term = F.when(F.col("visible"), F.exp(-e)) if vis_thr else F.exp(-e)
+    return j.groupBy(inst).agg(F.coalesce(F.avg(term), F.lit(0.0)).alias("oks"))
 
 
 def flip_keypoints(kp: DataFrame, flip_map: DataFrame, width: float, pt: str = "pt",

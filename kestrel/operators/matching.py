@@ -7,44 +7,43 @@ sets under a total order.  They are computed exactly in rounds: every
 round settles all edges (nodes) that dominate their neighbourhood, using
 ``groupBy`` aggregations and anti-joins only, and the number of rounds is
 small for realistic orders (polylogarithmic for random orders).  Lineage
-is cut with a reliable checkpoint every few rounds.
+is cut with a reliable checkpoint every round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.session import cut_lineage
 
 
 def greedy_assignment(pairs: DataFrame, group: str, a: str, b: str, weight: str,
-                      min_weight: float = 0.0, max_rounds: int = 10_000,
-                      checkpoint_every: int = 4) -> DataFrame:
-    """Repeatedly take the pair with the largest weight (ties: smaller ``a``,
-    then smaller ``b``) and remove both ends.  Returns the chosen pairs
+                      min_weight: float = 0.0) -> DataFrame:
+    """Within each group, repeatedly take the pair with the largest weight (ties:
+    smaller ``a``, then smaller ``b``) and remove both ends, until no pair is left.
+    ``a`` and ``b`` need only be unique within a group.  Returns the chosen pairs
     ``group, a, b, weight``.  Pairs with weight <= min_weight never match."""
     e = cut_lineage(pairs.select(group, a, b, weight).where(F.col(weight) > min_weight))
     key = F.struct(F.col(weight), -F.col(a), -F.col(b))
     chosen = None
-    for rnd in range(max_rounds):
-        best_a = e.groupBy(a).agg(F.max_by(F.col(b), key).alias("_ba"))
-        best_b = e.groupBy(b).agg(F.max_by(F.col(a), key).alias("_bb"))
-        dom = (e.join(best_a, a).where(F.col(b) == F.col("_ba"))
-                .join(best_b, b).where(F.col(a) == F.col("_bb"))
+    while True:  # the best pair of all is always dominant, so every round settles some
+        best_a = e.groupBy(group, a).agg(F.max_by(F.col(b), key).alias("_ba"))
+        best_b = e.groupBy(group, b).agg(F.max_by(F.col(a), key).alias("_bb"))
+        dom = (e.join(best_a, [group, a]).where(F.col(b) == F.col("_ba"))
+                .join(best_b, [group, b]).where(F.col(a) == F.col("_bb"))
                 .select(group, a, b, weight))
         dom = cut_lineage(dom)
         if dom.isEmpty():
             break
         chosen = dom if chosen is None else chosen.unionByName(dom)
-        e = cut_lineage(e.join(dom.select(a), a, "left_anti").join(dom.select(b), b, "left_anti"))
+        e = cut_lineage(e.join(dom.select(group, a), [group, a], "left_anti").join(dom.select(group, b), [group, b], "left_anti"))
     if chosen is None:
         return pairs.select(group, a, b, weight).limit(0)
     return chosen
 
 
-def greedy_independent_set(nodes: DataFrame, edges: DataFrame, node: str = "id",
-                           max_rounds: int = 100_000, checkpoint_every: int = 4) -> DataFrame:
+def greedy_independent_set(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFrame:
     """Lexicographically-first independent set.
 
     ``edges(u, v)`` says u comes before v and they conflict.  A node is kept
@@ -56,7 +55,7 @@ def greedy_independent_set(nodes: DataFrame, edges: DataFrame, node: str = "id",
     e = cut_lineage(edges.select("u", "v"))
     kept_all = None
     dropped_all = None
-    for rnd in range(max_rounds):
+    while True:  # the first undecided node has no predecessor, so every round settles some
         has_pred = e.select(F.col("v").alias(node)).distinct()
         new_k = undecided.join(has_pred, node, "left_anti")
         new_k = cut_lineage(new_k)
@@ -74,7 +73,3 @@ def greedy_independent_set(nodes: DataFrame, edges: DataFrame, node: str = "id",
         return nodes.withColumn("kept", F.lit(False))
     flag = kept_all.select(node, F.lit(True).alias("kept"))
     return nodes.join(flag, node, "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
-
-
-def order_key(order: list[Column]) -> Column:
-    return F.struct(*order)

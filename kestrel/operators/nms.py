@@ -56,8 +56,8 @@ def _edges_big(df: DataFrame, group: list[str], id_col: str, thr: float, offset:
     p = p.where(_iou_struct(la, ra, offset) > thr)
     l_first = (F.col("l_score") > F.col("r_score")) | (
         (F.col("l_score") == F.col("r_score")) & (F.col(f"l_{id_col}") < F.col(f"r_{id_col}")))
-    return p.select(F.when(l_first, F.col(f"l_{id_col}")).otherwise(F.col(f"r_{id_col}")).alias("u"),
-                    F.when(l_first, F.col(f"r_{id_col}")).otherwise(F.col(f"l_{id_col}")).alias("v"))
+    left, right = F.struct(*group, F.col(f"l_{id_col}").alias(id_col)), F.struct(*group, F.col(f"r_{id_col}").alias(id_col))
+    return p.select(F.when(l_first, left).otherwise(right).alias("u"), F.when(l_first, right).otherwise(left).alias("v"))
 
 
 def nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float, score_thr: float | None = None,
@@ -73,12 +73,11 @@ def nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float, score_thr:
     src = df if score_thr is None else df.where(F.col("score") > score_thr)
     small, big = _split_by_size(src.select(*group, id_col, "score", *BOX), group, max_group_rows)
     kept_ids = _fold_small(small, group, id_col, iou_thr, offset)
-    if max_group_rows is not None:
-        edges = _edges_big(big, group, id_col, iou_thr, offset, cell)
-        mis = greedy_independent_set(big.select(id_col), edges, node=id_col)
-        kept_ids = kept_ids.unionByName(mis.where("kept").join(big.select(*group, id_col), id_col)
-                                        .select(*group, id_col))
-    out = src.join(kept_ids.select(id_col), id_col, "left_semi")
+    edges = _edges_big(big, group, id_col, iou_thr, offset, cell)
+    nodes = big.select(F.struct(*group, id_col).alias("_node"))  # ids need only be unique within their group
+    mis = greedy_independent_set(nodes, edges, node="_node")
+    kept_ids = kept_ids.unionByName(mis.where("kept").select("_node.*"))
+    out = src.join(kept_ids, [*group, id_col], "left_semi")
     if max_num is not None:
         from kestrel.operators.selection import top_n_per_group
         out = top_n_per_group(out, group, [F.col("score").desc(), F.col(id_col)], max_num).drop("rank")
@@ -99,10 +98,10 @@ def nms_match_groups(df: DataFrame, group: list[str], id_col: str, iou_thr: floa
     l_first = (F.col("l_score") > F.col("r_score")) | (
         (F.col("l_score") == F.col("r_score")) & (F.col(f"l_{id_col}") < F.col(f"r_{id_col}")))
     p = p.where(l_first & (_iou_struct(la, ra, 0.0) > iou_thr))
-    owner = p.groupBy(F.col(f"r_{id_col}").alias(id_col)).agg(
+    owner = p.groupBy(*group, F.col(f"r_{id_col}").alias(id_col)).agg(
         F.min_by(F.col(f"l_{id_col}"), F.struct(-F.col("l_score"), F.col(f"l_{id_col}"))).alias("_owner"))
-    self_k = kept.select(id_col, F.col(id_col).alias("_self"))
-    return (df.join(self_k, id_col, "left").join(owner, id_col, "left")
+    self_k = kept.select(*group, id_col, F.col(id_col).alias("_self"))
+    return (df.join(self_k, [*group, id_col], "left").join(owner, [*group, id_col], "left")
               .withColumn("match_group", F.coalesce("_self", "_owner")).drop("_self", "_owner"))
 
 

@@ -99,18 +99,18 @@ def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pi
     query in the same ``key`` group.  Output: key, qid, rank, pid, d2.
 
     Queries whose k-th candidate is not certified by the searched ring are
-    searched again with a doubled ring; a group with fewer than k points
-    returns all its points (the reference pads with index 0 instead).
+    searched again with a doubled ring; those still open beyond ``max_ring`` are
+    compared with all points of their group, so every answer is exact.  A group
+    with fewer than k points returns all its points (the reference pads with
+    index 0 instead); a query of a group without points returns nothing.
     """
     p = points.select(key, pid, *XYZ)
     pending = cut_lineage(queries.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ]))
-    # one row per group (cloud): a dimension, checked small before broadcasting
     sizes = cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_gsize")))
-    if sizes.count() > 1_000_000:
-        raise ValueError("too many groups to broadcast their sizes; partition the call by group")
+    pending = cut_lineage(pending.join(sizes, key, "left_semi"))
     out = None
     ring = 1
-    while True:
+    while ring <= max_ring:
         # keep the shuffled rows narrow: ids, distance and the query's certificate
         cand = _ring_candidates(pending, p, key, cell, ring).select(
             key, qid, pid, "d2", _margin2(cell, ring).alias("_m2"))
@@ -119,17 +119,21 @@ def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pi
         top = (cand.withColumn("rank", F.row_number().over(wq.orderBy(F.col("d2"), F.col(pid))))
                    .where(F.col("rank") <= k)
                    .withColumn("_kd2", F.max("d2").over(wq)).withColumn("_found", F.count(F.lit(1)).over(wq))
-                   .join(F.broadcast(sizes), key))
+                   .join(sizes, key))
         ok = ((F.col("_found") >= F.least(F.col("_gsize"), F.lit(k)))
-              & ((F.col("_kd2") < F.col("_m2")) | (F.col("_gsize") <= F.col("_found")) | F.lit(ring >= max_ring)))
+              & ((F.col("_kd2") < F.col("_m2")) | (F.col("_gsize") <= F.col("_found"))))
         top = cut_lineage(top.withColumn("_ok", ok))
         done = top.where("_ok").select(key, qid, "rank", pid, "d2")
         out = done if out is None else out.unionByName(done)
         pending = cut_lineage(pending.join(done.select(key, qid).distinct(), [key, qid], "left_anti"))
         if pending.isEmpty():
-            break
+            return out
         ring *= 2
-    return out
+    d2 = sum((F.col(a) - F.col(f"q{a}")) * (F.col(a) - F.col(f"q{a}")) for a in XYZ)
+    far = pending.join(p, key).select(key, qid, pid, d2.alias("d2"))
+    rank = F.row_number().over(Window.partitionBy(key, qid).orderBy("d2", pid))
+    far = far.withColumn("rank", rank).where(F.col("rank") <= k).select(key, qid, "rank", pid, "d2")
+    return far if out is None else out.unionByName(far)
 
 
 def ball_query(points: DataFrame, centers: DataFrame, min_radius: float, max_radius: float,

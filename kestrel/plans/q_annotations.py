@@ -79,7 +79,7 @@ LEFT JOIN k USING (image_id) GROUP BY i.image_id""")
 def filter_small_boxes(spark, sf_dir):
     """P5: keep boxes wider than 30 and taller than 20; emptied images are kept."""
     inst, _ = _clean(spark, sf_dir)
-    f = A.filter_annotations(inst, 30.0, 20.0, keep_empty=True)
+    f = A.filter_annotations(inst, 30.0, 20.0, keep_empty=False)
     return f.groupBy("image_id").agg(F.count("ann_id").alias("n_kept"))
 
 
