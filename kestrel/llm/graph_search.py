@@ -142,10 +142,12 @@ class Graph:
         return ids, seen
 
 
-def build(rows: DataFrame, keep: int, shard_rows: int = 4096, degree: int = 32, beam: int = 64, alpha: float = 1.2) -> DataFrame:
+def build(rows: DataFrame, keep: int, shard_rows: int = 2048, degree: int = 32, beam: int = 64, alpha: float = 1.2) -> DataFrame:
     """(dim, shard, node, vector, ids, edges, medoid): the graphs, one row per distinct vector."""
     distinct = cut_lineage(points(rows, keep).withColumn("dim", F.size("vector")))
     sizes = distinct.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"))  # a row per dimension
+    # a graph is much work on few bytes: as many partitions as shards, which adaptive execution doesn't merge
+    parts = 2 * (sizes.agg(F.sum("shards")).first()[0] or 1)
     dealt = distinct.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
 
     def graph(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -154,7 +156,7 @@ def build(rows: DataFrame, keep: int, shard_rows: int = 4096, degree: int = 32,
         return pdf[["dim", "shard", "vector", "ids"]].assign(node=np.arange(len(pdf), dtype=np.int64), edges=[e[e >= 0].tolist() for e in g.edges], medoid=g.medoid)
 
     out = "dim int, shard long, vector array<double>, ids array<long>, node long, edges array<int>, medoid long"
-    return cut_lineage(dealt.select("dim", "shard", "vector", "ids").groupBy("dim", "shard").applyInPandas(graph, out))
+    return cut_lineage(dealt.select("dim", "shard", "vector", "ids").repartition(parts, "dim", "shard").groupBy("dim", "shard").applyInPandas(graph, out))
 
 
 def _ask(k: int, beam: int):
@@ -195,7 +197,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = 128, b
     sent = asked.join(shards, F.col("dim") == F.col("_dim")).select("dim", F.col("_shard").alias("shard"), "block", "query_id", "vector")  # each shard is asked each query
     held = (index.join(asked.select(F.col("dim").alias("_dim"), F.col("block").alias("_block")).distinct(), F.col("dim") == F.col("_dim"))
             .select("dim", "shard", F.col("_block").alias("block"), "node", "vector", "ids", "edges", "medoid"))
-    got = (held.groupBy("dim", "shard", "block").cogroup(sent.groupBy("dim", "shard", "block"))
+    by, parts = ["dim", "shard", "block"], 2 * (held.select("dim", "shard", "block").distinct().count() or 1)
+    got = (held.repartition(parts, *by).groupBy(*by).cogroup(sent.repartition(parts, *by).groupBy(*by))
            .applyInPandas(_ask(k, beam), "query_id long, vec_id long, score double"))
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return got.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
