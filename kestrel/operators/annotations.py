@@ -30,7 +30,7 @@ def clean_instances(anns: DataFrame, images: DataFrame, labels: DataFrame) -> Da
     ih = F.greatest(F.least(F.col("y") + F.col("h"), F.col("height")) - F.greatest(F.col("y"), F.lit(0.0)), F.lit(0.0))
     keep = (~F.coalesce(F.col("ignore"), F.lit(False)) & (iw * ih != 0)
             & ~((F.col("area") <= 0) | (F.col("w") < 1) | (F.col("h") < 1)))
-    a = a.where(keep).join(F.broadcast(labels), "category_id")
+    a = a.where(keep).join(labels, "category_id")
     return a.select("ann_id", "image_id", F.col("x").alias("x1"), F.col("y").alias("y1"),
                     (F.col("x") + F.col("w")).alias("x2"), (F.col("y") + F.col("h")).alias("y2"),
                     "label", F.coalesce(F.col("iscrowd"), F.lit(False)).cast("int").alias("ignore_flag"))

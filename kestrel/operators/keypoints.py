@@ -147,9 +147,9 @@ def flip_keypoints(kp: DataFrame, flip_map: DataFrame, width: float, pt: str = "
                    inst: str = "sample_id", cols=("gx", "gy", "visible")) -> DataFrame:
     """P10 horizontal flip: x' = width - 1 - x and each joint takes the values
     of its mirror joint (``flip_map(pt, src_pt)``; the map is one row per
-    joint, a bounded dimension)."""
+    joint; the planner broadcasts it by its size)."""
     src = kp.select(inst, F.col(pt).alias("src_pt"), *cols)
-    m = F.broadcast(flip_map)
+    m = flip_map
     out = kp.select(inst, pt).join(m, pt).join(src, [inst, "src_pt"])
     return out.withColumn(cols[0], F.lit(width - 1.0) - F.col(cols[0])).drop("src_pt")
 
