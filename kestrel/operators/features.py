@@ -17,16 +17,11 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a narrow input before a large expansion.
+    """Deal a narrow input evenly before a large expansion, which dwarfs this shuffle at any size.
 
-    A small table that arrives in fewer partitions than the cluster has
-    cores would otherwise expand inside one task; a large input already
-    has enough partitions and is left alone (no shuffle).
+    Nothing is run to find out how the input is partitioned now.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _x(i) -> Column:
