@@ -143,17 +143,6 @@ def oks(kp: DataFrame, inst: str = "sample_id", sigma: Column | float = 0.05,
     return j.groupBy(inst).agg(F.coalesce(F.avg(term), F.lit(0.0)).alias("oks"))
 
 
-def flip_keypoints(kp: DataFrame, flip_map: DataFrame, width: float, pt: str = "pt",
-                   inst: str = "sample_id", cols=("gx", "gy", "visible")) -> DataFrame:
-    """P10 horizontal flip: x' = width - 1 - x and each joint takes the values
-    of its mirror joint (``flip_map(pt, src_pt)``; the map is one row per
-    joint; the planner broadcasts it by its size)."""
-    src = kp.select(inst, F.col(pt).alias("src_pt"), *cols)
-    m = flip_map
-    out = kp.select(inst, pt).join(m, pt).join(src, [inst, "src_pt"])
-    return out.withColumn(cols[0], F.lit(width - 1.0) - F.col(cols[0])).drop("src_pt")
-
-
 def clip_border(kp: DataFrame, width: float, height: float, x: str = "gx", y: str = "gy",
                 visible: str = "visible") -> DataFrame:
     """Keypoints outside [0, w] x [0, h] become invisible."""

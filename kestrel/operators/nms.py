@@ -105,54 +105,46 @@ def nms_match_groups(df: DataFrame, group: list[str], id_col: str, iou_thr: floa
               .withColumn("match_group", F.coalesce("_self", "_owner")).drop("_self", "_owner"))
 
 
+def _decays(iou_thr: float, sigma: float) -> dict:
+    """D3: by name, the factor that a remaining score takes for its overlap with the box picked."""
+    import numpy as np
+
+    return {"naive": lambda iou: (iou < iou_thr).astype(float), "linear": lambda iou: np.where(iou < iou_thr, 1.0, 1.0 - iou),
+            "gaussian": lambda iou: np.exp(-iou * iou / sigma)}
+
+
 def soft_nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float = 0.3, sigma: float = 0.5,
              min_score: float = 1e-3, method: str = "linear", offset: float = 0.0) -> DataFrame:
-    """D3: soft NMS per group (naive / linear / gaussian decay, re-pick the max
-    each step, drop rows whose score falls below ``min_score``).
+    """D3: soft NMS per group: pick the best score (ties: smaller id), lower the
+    scores that overlap it by ``method``, drop those under ``min_score``, repeat.
 
-    Every step re-sorts the remaining rows, so this runs per group with
-    ``applyInPandas`` (numpy, vectorized per step); groups are images.
-    Output: kept rows with the decayed ``score`` and ``pick`` (1-based order).
+    A pick depends on every earlier one, so a group, which is an image, is one
+    numpy fold of ``applyInPandas``.  Output: picked rows with the lowered
+    ``score`` and ``pick`` (order from 1).
     """
     import numpy as np
     import pandas as pd
 
-    m = {"naive": 0, "linear": 1, "gaussian": 2}[method]
+    decay = _decays(iou_thr, sigma)[method]
     cols = [*group, id_col, *BOX, "score"]
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        b = pdf[list(BOX)].to_numpy(dtype=np.float64)
-        s = pdf["score"].to_numpy(dtype=np.float64).copy()
-        ids = pdf[id_col].to_numpy()
-        alive = np.ones(len(s), dtype=bool)
-        area = (b[:, 2] - b[:, 0] + offset) * (b[:, 3] - b[:, 1] + offset)
-        picks, scores = [], []
-        while alive.any():
-            cand = np.where(alive)[0]
-            # max score, ties -> smaller id
-            i = cand[np.lexsort((ids[cand], -s[cand]))[0]]
-            picks.append(i)
-            scores.append(s[i])
-            alive[i] = False
-            rest = np.where(alive)[0]
-            if rest.size == 0:
-                break
-            w = np.maximum(np.minimum(b[i, 2], b[rest, 2]) - np.maximum(b[i, 0], b[rest, 0]) + offset, 0)
-            h = np.maximum(np.minimum(b[i, 3], b[rest, 3]) - np.maximum(b[i, 1], b[rest, 1]) + offset, 0)
-            inter = w * h
-            ovr = inter / (area[i] + area[rest] - inter)
-            if m == 1:
-                wgt = np.where(ovr >= iou_thr, 1 - ovr, 1.0)
-            elif m == 2:
-                wgt = np.exp(-(ovr * ovr) / sigma)
-            else:
-                wgt = np.where(ovr >= iou_thr, 0.0, 1.0)
-            s[rest] = s[rest] * wgt
-            alive[rest[s[rest] < min_score]] = False
-        out = pdf.iloc[picks][[*group, id_col, *BOX]].copy()
-        out["score"] = scores
-        out["pick"] = np.arange(1, len(picks) + 1, dtype=np.int64)
-        return out
+        pdf = pdf.sort_values(id_col, kind="stable")  # then the first of equal scores has the smallest id
+        corners, scores = pdf[list(BOX)].to_numpy(float), pdf["score"].to_numpy(float)
+        areas = (corners[:, 2:] - corners[:, :2] + offset).prod(axis=1)
+        left, picked, final = np.arange(len(pdf)), [], []
+        while len(left):
+            best = scores.argmax()
+            top, final_score = left[best], scores[best]
+            picked.append(top)
+            final.append(final_score)
+            left, scores = np.delete(left, best), np.delete(scores, best)
+            sides = np.minimum(corners[left, 2:], corners[top, 2:]) - np.maximum(corners[left, :2], corners[top, :2]) + offset
+            inter = np.clip(sides, 0, None).prod(axis=1)
+            union = areas[left] + areas[top] - inter
+            scores = scores * decay(np.divide(inter, union, out=np.zeros_like(inter), where=union > 0))  # boxes without area don't overlap
+            left, scores = left[scores >= min_score], scores[scores >= min_score]
+        return pdf.iloc[picked].assign(score=final, pick=np.arange(1, len(picked) + 1, dtype=np.int64))
 
     schema = df.select(*cols).schema.add("pick", "long")
     return df.select(*cols).groupBy(*group).applyInPandas(fold, schema)

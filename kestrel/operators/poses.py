@@ -146,8 +146,9 @@ def decode_axes(x_scores, y_scores, split: float = 1.0, combine: str = "min", no
     if normalise:
         x_scores, y_scores = softmax(x_scores), softmax(y_scores)
     tops = F.array_max(x_scores), F.array_max(y_scores)
-    score = F.least(*tops) if combine == "min" else (tops[0] + tops[1]) / 2
-    at = [F.when(score > 0, (F.array_position(s, m) - 1).cast("double")).otherwise(F.lit(-1.0)) / split for s, m in zip((x_scores, y_scores), tops, strict=True)]
+    score = F.when(tops[0].isNotNull(), F.least(*tops)) if combine == "min" else (tops[0] + tops[1]) / 2
+    score = F.when(tops[1].isNotNull(), score)
+    at = [F.when(score > 0, (F.array_position(s, m) - 1).cast("double")).when(score <= 0, F.lit(-1.0)) / split for s, m in zip((x_scores, y_scores), tops, strict=True)]
     return at[0], at[1], score
 
 

@@ -112,3 +112,18 @@ def batch_summary(spark, sf_dir):
     s = C.batch_summary(g, "image_id", times=("conf",))
     return s.select("images", F.col("none_images").cast("long"), F.col("valid_images").cast("long"),
                     F.round("mean_conf", 6).alias("mean_conf"))
+
+
+@register("model_leaderboard", _SPLIT_SQL + """,
+m AS (SELECT 'quarter' AS model, split, label, pred FROM split UNION ALL SELECT 'constant', split, label, 3 FROM split
+  UNION ALL SELECT 'tenth', split, label, CASE WHEN sample_id % 10 = 0 THEN (label + 1) % 10 ELSE label END FROM split),
+a AS (SELECT model, coalesce(avg(CAST(pred = label AS INT)) FILTER (split = 'train'), 0) AS t, coalesce(avg(CAST(pred = label AS INT)) FILTER (split = 'val'), 0) AS v,
+  coalesce(avg(CAST(pred = label AS INT)) FILTER (split = 'test'), 0) AS e FROM m GROUP BY model)
+SELECT model, round(t, 6) AS train_acc, round(v, 6) AS val_acc, round(e, 6) AS test_acc, row_number() OVER (ORDER BY v DESC, e DESC, model) AS position FROM a""")
+def model_leaderboard(spark, sf_dir):
+    """Three prediction sets ranked by validation, then test accuracy."""
+    s, wrong = _split(spark, sf_dir), (F.col("label") + 1) % 10
+    models = {"quarter": F.col("pred"), "constant": F.lit(3), "tenth": F.when(F.col("sample_id") % 10 == 0, wrong).otherwise(F.col("label"))}
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), p.cast("long").alias("pred")) for n, p in models.items()]))
+    board = C.leaderboard(s.select("split", "label", named.alias("m")).select("split", "label", "m.*"))
+    return board.select("model", *[F.round(c, 6).alias(c) for c in ("train_acc", "val_acc", "test_acc")], "position")

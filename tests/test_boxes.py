@@ -79,6 +79,16 @@ def test_soft_nms_docstring_golden(spark):
     assert out.count() == 5
 
 
+def test_soft_nms_decays(spark):
+    """Two boxes of overlap 0.5 and one apart: what each method leaves of the second score."""
+    df = spark.createDataFrame([(0, 1, 0.0, 0.0, 10.0, 10.0, 0.9), (0, 2, 0.0, 0.0, 10.0, 5.0, 0.8), (0, 3, 50.0, 50.0, 60.0, 60.0, 0.9)],
+                               "image_id long, det_id long, x1 double, y1 double, x2 double, y2 double, score double")
+    for method, second in (("linear", 0.4), ("gaussian", 0.8 * 2.718281828459045 ** -0.5), ("naive", None)):
+        got = {r.det_id: (r.pick, r.score) for r in N.soft_nms(df, ["image_id"], "det_id", 0.3, 0.5, 1e-3, method).collect()}
+        assert got[1] == (1, 0.9) and got[3] == (2, 0.9)
+        assert (2 in got) == (second is not None) and (second is None or abs(got[2][1] - second) < 1e-9)
+
+
 def test_overlap_symmetric_and_bounded(spark):
     d = T.det_boxes(spark, SF_SMALL).where(F.col("image_id") < 100)
     p = overlap_pairs(d, d, ["image_id"], "det_id", "det_id", cell=16.0, out="iou").collect()

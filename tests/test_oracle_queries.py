@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from kestrel.plans import catalog
 from tests.conftest import SF_SMALL
 from tests.oracle_util import rows_equal
 
@@ -18,7 +19,8 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(_Q) - set(_S)))
 def test_query_without_oracle_runs(spark, name):
     df = _Q[name](spark, SF_SMALL)
-    assert df.count() >= 0
+    rows = df.collect()
+    assert rows or name not in catalog.QUERIES  # the queries of the reference's operators all find something in these tables
     assert len(df.columns) > 0
 
 
