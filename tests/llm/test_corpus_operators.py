@@ -162,6 +162,25 @@ def test_planted_passages(spark):
     assert chained_passages.passages(df.limit(0)).count() == 0
 
 
+def recall(spark, n_words, identity, n=60):
+    """Share of planted passages of which at least half is found, with edits at random places (as many substitutions, insertions and deletions)."""
+    rng = random.Random(n_words * 1000 + round(identity * 100))
+    rows = []
+    for p in range(n):
+        passage, copy = words(rng, n_words), []
+        for w in passage:
+            kind = rng.choice("sid") if rng.random() >= identity else ""
+            copy += {"": [w], "s": [f"new{rng.random()}"], "i": [f"new{rng.random()}", w], "d": []}[kind]
+        rows += [(2 * p, " ".join(words(rng, 40) + passage + words(rng, 40))), (2 * p + 1, " ".join(words(rng, 30) + copy + words(rng, 30)))]
+    got = chained_passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return len({r.doc_id // 2 for r in got if r.doc_id // 2 == r.other_doc_id // 2 and r.n_words >= n_words // 2}) / n
+
+
+@pytest.mark.parametrize(("n_words", "identity", "least"), [(60, 0.95, 0.95), (60, 0.9, 0.9), (150, 0.9, 0.95), (150, 0.85, 0.9)])
+def test_passages_with_edits_at_random_places(spark, n_words, identity, least):
+    assert recall(spark, n_words, identity) >= least
+
+
 def test_edit_matches():
     assert chained_passages.edit_matches(list("abcde"), list("axcde")) == 4
     assert chained_passages.edit_matches([], list("ab")) == 0
