@@ -181,6 +181,19 @@ def test_passages_with_edits_at_random_places(spark, n_words, identity, least):
     assert recall(spark, n_words, identity) >= least
 
 
+def test_every_copy_of_a_passage_within_a_document(spark):
+    rng = random.Random(11)
+    passage, notice = words(rng, 55), words(rng, 60)
+    page = [w for _ in range(5) for w in words(rng, 100) + notice]
+    texts = [passage + passage, passage, page, words(rng, 20) + notice]
+    for order in (texts, texts[::-1], [t + [f"x{i}"] for i, t in enumerate(texts)], [[f"y{i}"] + t for i, t in enumerate(texts)]):  # other keys, other representatives
+        df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(order)], "doc_id long, text string")
+        left = [r.text for r in chained_passages.cut_passages(df).collect()]
+        for p in (passage, notice):
+            holds = [t.count(" ".join(p)) for t in left]
+            assert sum(h > 0 for h in holds) == 1 and sum(holds) in (1, " ".join(" ".join(t) for t in texts).count(" ".join(p)) - 1)
+
+
 def test_edit_matches():
     assert chained_passages.edit_matches(list("abcde"), list("axcde")) == 4
     assert chained_passages.edit_matches([], list("ab")) == 0
