@@ -194,6 +194,31 @@ def test_every_copy_of_a_passage_within_a_document(spark):
             assert sum(h > 0 for h in holds) == 1 and sum(holds) in (1, " ".join(" ".join(t) for t in texts).count(" ".join(p)) - 1)
 
 
+def test_exact_passage_next_to_a_loosely_shared_region(spark):
+    rng = random.Random(12)
+    rows, exact = [], {}
+    for p in range(20):
+        exact[p] = words(rng, 60)
+        here, there = [], []
+        for _ in range(8):
+            shared = words(rng, 12)
+            here, there = here + words(rng, 10) + shared, there + words(rng, 10) + shared
+        for i, t in enumerate((here, there)):
+            rows.append((2 * p + i, " ".join(exact[p] + t if p % 2 else t + exact[p])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = chained_passages.passages(df).collect()
+    assert {r.doc_id // 2 for r in got} == set(range(20)) and all(r.identity >= 0.8 and r.n_words >= 50 for r in got)
+    left = [r.text for r in chained_passages.cut_passages(df).collect()]
+    assert all(sum(" ".join(p) in t for t in left) == 1 for p in exact.values())
+
+
+def test_align_gives_all_parts_that_hold_the_bound():
+    shared, loose = [b"s%d" % i for i in range(120)], [[c + b"%d" % i for i in range(20)] for c in (b"x", b"y")]
+    a, b = (shared[:60] + z + shared[60:] for z in loose)
+    anchors = [(i, i) for i in (*range(0, 56, 5), *range(80, 136, 5))]
+    assert chained_passages.align(a, b, anchors, 5, 50, 0.9) == [(0, 60, 0, 60, 60), (80, 140, 80, 140, 60)]
+
+
 def test_edit_matches():
     assert chained_passages.edit_matches(list("abcde"), list("axcde")) == 4
     assert chained_passages.edit_matches([], list("ab")) == 0
