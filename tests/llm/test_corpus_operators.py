@@ -212,6 +212,16 @@ def test_exact_passage_next_to_a_loosely_shared_region(spark):
     assert all(sum(" ".join(p) in t for t in left) == 1 for p in exact.values())
 
 
+def test_passage_of_long_words(spark):
+    rng = random.Random(13)
+    passage = ["字" * 60 + w + "文" * 40 for w in words(rng, 52)]  # over 300 bytes a word
+    rows = [(i, " ".join(words(rng, 60) + passage + words(rng, 60))) for i in range(2)]
+    got = chained_passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.start_word, r.n_words, r.n_matched) for r in got] == [(60, 52, 52)]
+    text = dict(rows)
+    assert all(text[r.doc_id].encode()[r.start_byte:r.end_byte].decode().split() == passage for r in got)
+
+
 def test_align_gives_all_parts_that_hold_the_bound():
     shared, loose = [b"s%d" % i for i in range(120)], [[c + b"%d" % i for i in range(20)] for c in (b"x", b"y")]
     a, b = (shared[:60] + z + shared[60:] for z in loose)
