@@ -222,6 +222,17 @@ def test_passage_of_long_words(spark):
     assert all(text[r.doc_id].encode()[r.start_byte:r.end_byte].decode().split() == passage for r in got)
 
 
+def test_passage_whose_parts_are_frequent_alone(spark):
+    rng = random.Random(14)
+    both = words(rng, 50)
+    parts = both[:32], both[18:]  # no seed is in the whole alone
+    texts = [words(rng, 30) + parts[i % 2] + words(rng, 30) for i in range(60)] + [words(rng, 30) + both + words(rng, 30) for _ in range(3)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    left = [r.text for r in chained_passages.cut_passages(df).collect()]
+    assert sum(" ".join(both) in t for t in left) == 1  # one document keeps it
+    assert sum(" ".join(parts[0]) in t for t in left) == 31  # a part alone is too short
+
+
 def test_align_gives_all_parts_that_hold_the_bound():
     shared, loose = [b"s%d" % i for i in range(120)], [[c + b"%d" % i for i in range(20)] for c in (b"x", b"y")]
     a, b = (shared[:60] + z + shared[60:] for z in loose)
