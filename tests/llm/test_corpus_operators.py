@@ -233,6 +233,22 @@ def test_passage_whose_parts_are_frequent_alone(spark):
     assert sum(" ".join(parts[0]) in t for t in left) == 31  # a part alone is too short
 
 
+def test_exact_passages_by_brute_force(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    covered = {}
+    for r in chained_passages.passages(df).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+    holders = {}
+    for i, t in df.where("text IS NOT NULL").collect():
+        w = [x.lower() for x in chained_passages.WORD.findall(t.encode())]
+        for s in range(len(w) - 49):
+            holders.setdefault(tuple(w[s:s + 50]), []).append((i, s))
+    shared = [h for h in holders.values() if len({i for i, _ in h}) > 1]
+    assert shared
+    for h in shared:  # all but one document have every word of it in a row
+        assert len({i for i, s in h if not covered.get(i, set()).issuperset(range(s, s + 50))}) <= 1
+
+
 def test_align_gives_all_parts_that_hold_the_bound():
     shared, loose = [b"s%d" % i for i in range(120)], [[c + b"%d" % i for i in range(20)] for c in (b"x", b"y")]
     a, b = (shared[:60] + z + shared[60:] for z in loose)
