@@ -16,7 +16,8 @@ pi = e - floor(e), is drawn by Pareto order sampling: documents rank by
 (u / (1 - u)) / (pi / (1 - pi)), u a uniform of seed and doc_id, and the first
 ones are taken until the words still missing are filled, a sample of fixed size
 in words.  No source is sorted whole: ranks are binned, the bin in which the
-sample ends comes from sums per (source, bin), and only its documents are ranked.
+sample ends comes from sums per (source, bin), and only its documents are ranked,
+in range chunks.
 """
 
 from __future__ import annotations
@@ -105,8 +106,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
             .agg(F.max(F.struct("bin", "before", "need")).alias("edge")).select(F.col("source").alias("_s"), "edge"))
     placed = drawn.join(edge, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     inside = placed.where("bin IS NOT NULL AND edge.bin = bin")
-    w = Window.partitionBy("source").orderBy("q", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("_to", F.sum("size").over(w)).withColumn("extra", (F.col("edge.before") + F.col("_to") - F.col("size") / 2 <= F.col("edge.need")).cast("long")).drop("_to")
+    # the bin may hold most of a source: summed in range chunks, by a key that isn't null
+    named_bin = inside.withColumn("_by", F.concat(F.col("source").isNull().cast("string"), F.coalesce(F.col("source").cast("string"), F.lit(""))))
+    summed = running(named_bin, ["_by"], [F.col("q"), F.col("doc_id"), F.col("size")], {"_to": F.col("size")}, rank_col=None).drop("_by")
+    ranked = summed.withColumn("extra", (F.col("edge.before") + F.col("_to") - F.col("size") / 2 <= F.col("edge.need")).cast("long")).drop("_to")
     sure = placed.where("bin IS NULL OR edge IS NULL OR edge.bin != bin").withColumn("extra", F.coalesce(F.col("bin") < F.col("edge.bin"), F.lit(False)).cast("long"))
     both = sure.unionByName(ranked)
     copies = (F.col("whole") + F.col("extra")).cast("long")

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kestrel.llm import chained_passages, graph_search, pareto_mix, simhash
 from kestrel.llm.components import components
@@ -312,6 +313,19 @@ def test_pareto_inclusion_follows_its_odds(spark):
     assert mean[0] < mean[4] and 0 < mean[0] and mean[4] < 1  # longer texts lean higher, none is certain
 
 
+def test_mix_of_a_source_in_one_bin(spark):
+    rows = [(i, "w " * 10, None) for i in range(4000)]  # near a whole copy, of one size: all in the first bin
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = pareto_mix.mix(df, weights=(1,), share=1 - 1e-9, max_copies=1).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == 4000 and sum(r.taken for r in got) in (39990, 40000)
+    tasks = [r.task for r in got]
+    assert max(tasks.count(t) for t in set(tasks)) < 2000
+
+
 # -- graph search
 
 def test_nearest_recall_and_ties(spark, duck):
