@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (chained_passages, chat_format, compression_quality, graph_search, host_rules, licence_spans, packing, pareto_mix, simhash,
-                         token_counts)
+from kestrel.llm import (bbit_minhash, chained_passages, chat_format, compression_quality, contour_whitening, graph_search, host_rules, licence_spans,
+                         packing, pareto_mix, prefix_trie, simhash, token_counts)
 from kestrel.llm.common import table
 
 
@@ -122,7 +122,62 @@ def op10_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start_word", "n_words", "other_doc_id", "other_start_word", "other_n_words", "n_matched", "identity")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.shared_starts(prefix_trie.numbered(table(spark, sf_dir, "conversations")), every=5, longest=9)
+    return prefix_trie.trie(rows).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, list(x ORDER BY n) AS l FROM turns GROUP BY conv_id),
+coded AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))),
+    lambda c, d: list_reduce(list_prepend(xor(c, d), CAST(range(8) AS BIGINT[])), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)),
+    4294967295::BIGINT) % 9 AS h FROM convs),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.l[1:a.h], []), a.l[a.h + 1:]) AS l FROM coded AS a LEFT JOIN convs AS b ON b.conv_id = a.conv_id - a.conv_id % 5),
+paths AS (SELECT conv_id, len(l) AS ends, d AS depth, md5(to_json(l[1:d])::VARCHAR) AS k, md5(to_json(l[1:d - 1])::VARCHAR) AS p, strlen(l[d].t) AS bytes
+          FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT depth, k, min(p) AS p, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(min(bytes), 0) AS bytes,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends = depth), '')) AS ends_sha256 FROM paths GROUP BY depth, k),
+children AS (SELECT p, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON nodes.k = children.p AND nodes.depth = children.depth),
+totals AS (  -- a node counts for all the nodes on the path of its smallest member down to it
+  SELECT a.depth, a.k, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.bytes) AS saved
+  FROM full_nodes AS v JOIN paths AS a ON a.conv_id = v.conv_id AND a.depth <= v.depth GROUP BY a.depth, a.k)
+SELECT f.conv_id, f.depth, CASE WHEN f.depth > 0 THEN up.conv_id END AS parent_conv_id, f.n_convs, f.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_nodes AS f JOIN totals ON f.depth = totals.depth AND f.k = totals.k LEFT JOIN nodes AS up ON f.p = up.k AND f.depth - 1 = up.depth
+"""
+
+
+def op12_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = contour_whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                       ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+met AS (SELECT a.r AS u, b.r AS v, count(*) AS n FROM shingles AS a JOIN shingles AS b USING (s) WHERE a.r != b.r GROUP BY ALL),
+linked AS (SELECT u, v FROM met JOIN sizes AS a ON u = a.r JOIN sizes AS b ON v = b.r WHERE 100 * met.n >= 85 * (a.n + b.n - met.n)),
+reach AS (SELECT r, r AS v FROM words UNION SELECT reach.r, linked.v FROM reach JOIN linked ON reach.v = linked.u),
+least AS (SELECT reach.r, min(words.doc_id) AS component_id FROM reach JOIN words ON reach.v = words.r GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM words JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_compression_quality, op2_host_rules, op3_chat_format, op4_pareto_mix, op5_token_counts, op6_graph_search, op7_licence_spans,
-    op8_certified_packing, op9_simhash_anchors, op10_chained_passages)}
-ORACLE = {"op2_host_rules": OP2_SQL, "op3_chat_format": OP3_SQL}
+    op8_certified_packing, op9_simhash_anchors, op10_chained_passages, op11_prefix_trie, op12_contour_whitening, op13_bbit_minhash)}
+ORACLE = {"op2_host_rules": OP2_SQL, "op3_chat_format": OP3_SQL, "op11_prefix_trie": OP11_SQL, "op13_bbit_minhash": OP13_SQL}
