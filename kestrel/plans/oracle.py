@@ -24,6 +24,9 @@ VIEWS = {
         l_partkey%50+l_discount*20 AS x1, l_suppkey%30+l_tax*20 AS y1,
         l_partkey%50+l_discount*20+20+l_quantity AS x2, l_suppkey%30+l_tax*20+20+l_quantity/2 AS y2,
         l_linenumber=3 AS ignore_flag FROM lineitem WHERE l_linenumber IN (1,3)""",
+    "tracked_boxes": f"""SELECT l_suppkey AS video_id, CASE WHEN l_orderkey%120 < 60 THEN l_orderkey%120 ELSE 2*(l_orderkey%120) - 60 END AS frame_idx,
+        {ROW_ID} AS det_id, CAST(l_partkey%50 AS DOUBLE) AS x1, CAST(l_suppkey%30 AS DOUBLE) AS y1,
+        l_partkey%50+20+l_quantity AS x2, l_suppkey%30+20+l_quantity/2 AS y2, l_linenumber%4 = 0 AS few FROM lineitem""",
     "sensor_readings": """SELECT user_id AS device, event_id AS seq, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts_ms,
         value FROM events""",
     "commands": """SELECT event_id AS cmd_id, CASE event_type

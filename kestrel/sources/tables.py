@@ -81,6 +81,16 @@ def gt_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linenumber") == 3).alias("ignore_flag"))
 
 
+def tracked_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections in frames: a supplier is a video; every other frame number over 60 is missing."""
+    li = table(spark, sf_dir, "lineitem")
+    o = F.col("l_orderkey") % 120
+    x1, y1 = (F.col("l_partkey") % 50).cast("double"), (F.col("l_suppkey") % 30).cast("double")
+    return li.select(F.col("l_suppkey").alias("video_id"), F.when(o < 60, o).otherwise(2 * o - 60).alias("frame_idx"), lineitem_row_id().alias("det_id"),
+                     x1.alias("x1"), y1.alias("y1"), (x1 + 20 + F.col("l_quantity")).alias("x2"), (y1 + 20 + F.col("l_quantity") / 2).alias("y2"),
+                     (F.col("l_linenumber") % 4 == 0).alias("few"))
+
+
 def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(F.col("user_id").alias("device"), F.col("event_id").alias("seq"),

@@ -10,23 +10,19 @@ readings before it (a skew-safe running sum), so each dark run is one
 (device, island) group; run start and trigger are ``min`` / ``min_by``
 aggregations with map-side partial aggregation.
 
-Streaming: ``applyInPandasWithState`` keyed by device, state = (dark,
-run_start, fired, last_ts).  A reading older than the device's last
-processed reading is late and dropped (stated policy; the reference reads
-a live pin and has no late data).  The watermark bounds state for devices
-that go quiet.
+Streaming: ``ordered_fold`` keyed by device, state = (run_start, fired).
+Readings wait until the watermark has passed them, so files in any order
+give what the batch twin gives; readings behind the watermark are dropped
+and counted by Spark.  A device in the light keeps no state.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.plans.ordered import running
-from kestrel.session import checkpoint_dir
+from kestrel.streaming.ordered import ordered_fold, run_files
 
 # Fixed values from the reference firmware: analog threshold and hold time.
 LIGHT_THRESHOLD = 30
@@ -52,59 +48,36 @@ def debounce_batch(readings: DataFrame, threshold: float = LIGHT_THRESHOLD, hold
 
 
 def _fold(threshold: float, hold_ms: int):
-    import pandas as pd
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        dark, start, fired, last = state.get if state.exists else (False, 0, False, -(2 ** 62))
-        rows = []
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_ms", "seq"], kind="mergesort")
-        for t, s, v in zip(pdf["ts_ms"].to_numpy(), pdf["seq"].to_numpy(), pdf["value"].to_numpy()):
-            if t < last:
-                continue  # late reading: dropped
-            last = int(t)
-            if v < threshold:
-                if not dark:
-                    dark, start = True, int(t)
-                elif int(t) - start > hold_ms and not fired:
-                    rows.append((int(key[0]), int(s), int(t), start, int(t) - start))
-                    fired = True
-            else:
-                dark, start, fired = False, 0, False
-        state.update((dark, start, fired, last))
-        yield pd.DataFrame(rows, columns=["device", "trigger_seq", "trigger_ts", "run_start", "held_ms"])
-
-    return fn
+    def fold(key, rows, state):
+        start, fired = state or (None, False)
+        out = []
+        for device, seq, ts, value in rows:
+            if value is None or value >= threshold:
+                if value is not None:
+                    start, fired = None, False
+            elif start is None:
+                start = ts
+            elif ts - start > hold_ms and not fired:
+                out.append((device, seq, ts, start, ts - start))
+                fired = True
+        return out, None if start is None else (start, fired)  # a device in the light has no state
+    return fold
 
 
 def debounce_stream(stream: DataFrame, threshold: float = LIGHT_THRESHOLD, hold_ms: int = TRIGGER_TIME_MS,
                     watermark: str = "1 day") -> DataFrame:
-    """Streaming T1 on a stream of ``device, seq, ts_ms, value`` rows."""
-    s = stream.withColumn("_evt", F.timestamp_millis("ts_ms")).withWatermark("_evt", watermark)
-    return s.groupBy("device").applyInPandasWithState(
-        _fold(threshold, hold_ms), TRIGGER_SCHEMA,
-        "dark boolean, start long, fired boolean, last long", "append", "NoTimeout")
+    """Streaming T1 on a stream of ``device, seq, ts_ms, value`` rows, which may come in any order within ``watermark``."""
+    return ordered_fold(stream.select("device", "seq", "ts_ms", "value"), ["device"], "ts_ms", ["seq"], _fold(threshold, hold_ms), TRIGGER_SCHEMA, watermark)
 
 
 def run_debounce_stream(spark: SparkSession, events_dir: str, threshold: float = LIGHT_THRESHOLD,
-                        hold_ms: int = TRIGGER_TIME_MS, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Drive T1 as a Structured Streaming query over the ``events*.parquet``
-    files of ``events_dir`` (``availableNow``: every file is processed, then
-    the query stops).
-
-    The sink is parquet under the session checkpoint folder; the returned
-    DataFrame reads it back.
-    """
-    base = f"{checkpoint_dir(spark).rstrip('/')}/debounce-{uuid.uuid4().hex}"
+                        hold_ms: int = TRIGGER_TIME_MS, files_at_once: int = 1, delay_days: int = 3650) -> DataFrame:
+    """T1 over the ``events*.parquet`` files of ``events_dir`` as a stream; files may come in any order within ``delay_days``."""
     from kestrel.sources.tables import event_ms
-    opts = {"pathGlobFilter": "events*.parquet"}
-    if max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    schema = spark.read.options(**opts).parquet(events_dir).schema
-    ev = spark.readStream.schema(schema).options(**opts).parquet(events_dir)
-    readings = ev.select(F.col("user_id").alias("device"), F.col("event_id").alias("seq"),
-                         event_ms(F.col("ts")).alias("ts_ms"), "value")
-    q = (debounce_stream(readings, threshold, hold_ms).writeStream.format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/chk")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema(TRIGGER_SCHEMA).parquet(f"{base}/out")
+
+    def readings(ev: DataFrame) -> DataFrame:
+        return ev.select(F.col("user_id").alias("device"), F.col("event_id").alias("seq"), event_ms(F.col("ts")).alias("ts_ms"), "value")
+
+    schema = spark.read.option("pathGlobFilter", "events*.parquet").parquet(events_dir).schema
+    return run_files(spark, events_dir, schema, lambda s: debounce_stream(s, threshold, hold_ms, f"{delay_days} days"), "ts_ms", TRIGGER_SCHEMA,
+                     "events*.parquet", files_at_once, delay_days * 86_400_000, readings)
