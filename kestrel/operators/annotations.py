@@ -36,13 +36,15 @@ def clean_instances(anns: DataFrame, images: DataFrame, labels: DataFrame) -> Da
                     "label", F.coalesce(F.col("iscrowd"), F.lit(False)).cast("int").alias("ignore_flag"))
 
 
-def filter_images(images: DataFrame, instances: DataFrame, filter_empty_gt: bool = True,
+def filter_images(images: DataFrame, annotations: DataFrame, labels: DataFrame, filter_empty_gt: bool = True,
                   min_size: float = 0.0) -> DataFrame:
-    """Keep images holding an instance of a wanted class (the id-set
-    intersection is a semi join) and with min(width, height) >= min_size."""
+    """Keep images that an annotation of a wanted class names, as it
+    stands in the file (cleaning may leave none of them), and with
+    min(width, height) >= min_size.  The id-set intersection is a semi join."""
     out = images
     if filter_empty_gt:
-        out = out.join(instances.select("image_id").distinct(), "image_id", "left_semi")
+        wanted = annotations.join(labels, "category_id", "left_semi").select("image_id").distinct()
+        out = out.join(wanted, "image_id", "left_semi")
     return out.where(F.least("width", "height") >= min_size)
 
 

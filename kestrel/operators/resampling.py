@@ -44,10 +44,10 @@ def class_aware(rows: DataFrame, label: str, row_id: str, per_visit: int = 1, se
     return drawn.select(position.cast("long").alias("position"), label, row_id)
 
 
-def ratio_batches(rows: DataFrame, source: str, row_id: str, ratios: dict, batch_size: int, batches: int, seed: int = 42) -> DataFrame:
-    """K4: ``batches`` batches of rows of the sources in the given ratios, what rounding leaves going to the first source.
+def ratio_batches(rows: DataFrame, source: str, row_id: str, ratios: dict, batch_size: int, batches: int | None = None, seed: int = 42) -> DataFrame:
+    """K4: batches of rows of the sources in the given ratios, what rounding leaves going to the first source.
 
-    Returns ``batch``, ``slot``, source and id; slots follow the order of ``ratios``.  Each source is reshuffled when used up.
+    Without ``batches`` there are as many as it takes to draw every row at least once.  Returns ``batch``, ``slot``, source and id; slots follow the order of ``ratios``.  Each source is reshuffled when used up.
     """
     share = {s: int(batch_size * r / sum(ratios.values())) for s, r in ratios.items()}
     first = next(iter(share))
@@ -63,7 +63,9 @@ def ratio_batches(rows: DataFrame, source: str, row_id: str, ratios: dict, batch
         return out
 
     want = (rows.groupBy(source).agg(F.count(F.lit(1)).alias("size")).where(F.col(source).isin(*ratios))
-            .withColumns({"_share": choose(share), "_start": choose(starts)}).withColumn("take", F.col("_share") * batches))
+            .withColumns({"_share": choose(share), "_start": choose(starts)}))
+    rounds = F.ceil(F.max(F.col("size") / F.col("_share")).over(Window.partitionBy())) if batches is None else F.lit(batches)  # a row a source
+    want = want.withColumn("take", (F.col("_share") * rounds).cast("long"))
     drawn = _go_round(rows.select(source, row_id), source, row_id, want, seed)
     return drawn.select(F.floor(F.col("draw") / F.col("_share")).alias("batch"), (F.col("_start") + F.col("draw") % F.col("_share")).alias("slot"), source, row_id)
 

@@ -55,11 +55,11 @@ def clean_annotations(spark, sf_dir):
                        "label", "ignore_flag")
 
 
-@register("filter_images", _CLEAN_SQL + "SELECT DISTINCT image_id FROM c")
+@register("filter_images", with_views("gt_boxes") + "SELECT DISTINCT image_id FROM gt_boxes WHERE class_id IN ('A', 'R')")
 def filter_images(spark, sf_dir):
-    """Images that keep at least one wanted instance."""
-    inst, images = _clean(spark, sf_dir)
-    return A.filter_images(images, inst, True, 0.0).select("image_id")
+    """Images with an annotation of a wanted class."""
+    images, anns, cats = _inputs(spark, sf_dir)
+    return A.filter_images(images, anns, A.label_map(cats, WANTED), True, 0.0).select("image_id")
 
 
 @register("images_with_empty", _CLEAN_SQL + """

@@ -88,13 +88,14 @@ def class_aware_draws(spark, sf_dir):
 
 
 @register("ratio_batches", """WITH s(event_type, share, start) AS (VALUES ('click', 9, 0), ('view', 5, 9), ('purchase', 2, 14)),
-w AS (SELECT event_type, any_value(share) AS share, any_value(start) AS start, count(*) AS size FROM events JOIN s USING (event_type) GROUP BY event_type),
+z AS (SELECT event_type, any_value(share) AS share, any_value(start) AS start, count(*) AS size FROM events JOIN s USING (event_type) GROUP BY event_type),
+w AS (SELECT *, CAST(max(ceil(size / share)) OVER () AS BIGINT) AS batches FROM z),
 r AS (SELECT w.*, event_id, cycle * size + row_number() OVER (PARTITION BY w.event_type, cycle ORDER BY md5('42-' || cycle || '-' || event_id), event_id) - 1 AS draw
-  FROM (SELECT *, unnest(range(0, CAST(ceil(share * 400 / size) AS BIGINT))) AS cycle FROM w) w JOIN events e ON e.event_type = w.event_type)
-SELECT CAST(draw // share AS BIGINT) AS batch, CAST(start + draw % share AS BIGINT) AS slot, event_type, event_id FROM r WHERE draw < share * 400""")
+  FROM (SELECT *, unnest(range(0, CAST(ceil(share * batches / size) AS BIGINT))) AS cycle FROM w) w JOIN events e ON e.event_type = w.event_type)
+SELECT CAST(draw // share AS BIGINT) AS batch, CAST(start + draw % share AS BIGINT) AS slot, event_type, event_id FROM r WHERE draw < share * batches""")
 def ratio_batches(spark, sf_dir):
-    """K4: 400 batches of 16 events, three kinds in the ratio 3 : 2 : 1."""
-    return S.ratio_batches(T.table(spark, sf_dir, "events"), "event_type", "event_id", {"click": 3, "view": 2, "purchase": 1}, 16, 400)
+    """K4: batches of 16 events, three kinds in the ratio 3 : 2 : 1, until every event is drawn."""
+    return S.ratio_batches(T.table(spark, sf_dir, "events"), "event_type", "event_id", {"click": 3, "view": 2, "purchase": 1}, 16)
 
 
 @register("resampled_concat", """WITH s(event_type, factor) AS (VALUES ('click', 0.5::DOUBLE), ('view', 1.7::DOUBLE)),
