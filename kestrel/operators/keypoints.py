@@ -120,7 +120,7 @@ def mpjpe(kp: DataFrame, inst: str = "sample_id", alignment: str = "none", by=()
         for d in dims:
             k = k.withColumn(f"p{d}", F.col(f"p{d}") * F.col("_s"))
     elif alignment != "none":
-        raise ValueError("alignment must be none or scale (procrustes: mpjpe_procrustes)")
+        raise ValueError("alignment must be none or scale (procrustes: alignment.procrustes_mpjpe)")
     err = F.sqrt(sum((F.col(f"p{d}") - F.col(f"g{d}")) * (F.col(f"p{d}") - F.col(f"g{d}")) for d in dims))
     return k.where(F.col("visible")).groupBy(*by).agg(F.avg(err).alias("mpjpe"))
 
