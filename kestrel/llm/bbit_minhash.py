@@ -9,18 +9,17 @@ agreements c = 2 ** -bits as (m / k - c) / (1 - c).
 
 Links are found in two steps, and only confirmed on full sets.
 
-1. Stars: every class of a bucket is paired with one representative, another one
-   in each band.  Pairs whose estimate (``deviations`` standard errors below the
-   threshold) or sizes rule a link out are dropped, the others confirmed, and
-   components formed.  Nearly all of a large group meets here.
-2. The rest: in buckets that still hold several components, all pairs of classes
-   of different components are compared by signature inside tasks.  A bucket is
-   cut into chunks and a task takes two chunks at a time, so none grows with its
-   bucket.  Of its likely partners, most similar first, a class hands out those
-   of places 1-8 in the first round, 9-24 in the second, then twice as many each
-   time; pairs that a link between has made one component meanwhile are left
-   out.  It ends when no class has partners of another component left: no pair
-   that shares a bucket and passes the estimate goes unconfirmed.
+1. Stars: every class of a bucket is paired with the bucket's representative.
+   Pairs that sizes or the estimate (``deviations`` standard errors below the
+   threshold) rule out are dropped, the others confirmed, and components formed.
+   A bucket that is one component is done.
+2. The rest: in buckets of several components, the classes outside the largest
+   one are compared by signature with all that are in another component.  A pair
+   that shares several buckets is looked at in the first.  A bucket is cut into
+   chunks of a bounded number of shingles and a task takes one chunk of either
+   side at a time, so none grows with its bucket.  Only classes with a likely
+   partner go on, with their texts; a task then counts the common shingles of all
+   its classes and returns a spanning forest of the links instead of all pairs.
 """
 
 from __future__ import annotations
@@ -34,8 +33,8 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import cut_lineage, text_slices
 from kestrel.llm.components import components
 
-#: Classes in a chunk of a bucket, places handed out in the first round, and rows that a task takes of step 2 at once.
-CHUNK, FIRST, TASK_ROWS = 2_048, 8, 50_000
+#: Shingles in a chunk of a bucket, and rows that a task takes of step 2's first half at once.
+CHUNK, TASK_ROWS = 400_000, 50_000
 
 
 def shingle_set(text: bytes, shingle: int = 5) -> np.ndarray:
@@ -160,16 +159,15 @@ def _likely(pairs: DataFrame, classes: DataFrame, scheme: Scheme, percent: int)
     return sized.select("u", "v", "u_s", "v_s").mapInArrow(run, "u binary, v binary")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough.
+def _texts(uids: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(uid, text): a text of each class of ``uids``."""
+    wanted = uids.join(classes.select("uid", "text_key"), "uid")
+    rows = _keyed(docs, id_col, text_col).select("text_key", "text").join(wanted, "text_key")
+    return cut_lineage(rows.groupBy("uid").agg(F.first("text").alias("text")))
 
-    Texts come by key, one for each class that is in a pair.  v is the side that
-    many pairs share: its pairs follow one another and its set is built once.
-    """
-    keys = classes.select("uid", "text_key")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("uid")).distinct().join(keys, "uid")
-    texts = _keyed(docs, id_col, text_col).select("text_key", "text").join(wanted, "text_key").groupBy("uid").agg(F.first("text").alias("text"))
-    texts = cut_lineage(texts)
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough; v is the side that many pairs share: its pairs follow one another and its set is built once."""
     both = (pairs.join(texts.select(F.col("uid").alias("u"), F.col("text").alias("u_text")), "u")
             .join(texts.select(F.col("uid").alias("v"), F.col("text").alias("v_text")), "v"))
 
@@ -190,77 +188,119 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
     return both.select("u", "v", "u_text", "v_text").mapInArrow(run, "u binary, v binary")
 
 
-def _partners(scheme: Scheme, percent: int, first: int, last: int):
-    """Of buckets' parts: pairs of different components in places [first, last) of either class's likely partners, and whether places are left."""
+def _likely_members(scheme: Scheme, percent: int):
+    """Of buckets' parts (x side, y side): the members that have a likely partner of another component, in no bucket before this one."""
     least = scheme.least(percent / 100)
 
     def run(pdf):
         import pandas as pd
 
-        out = []
+        out = [pdf.iloc[:0][["key", "i", "j", "side", "uid", "root"]]]
         for _, part in pdf.groupby(["key", "i", "j"], sort=False):
-            xs, ys = part[part["side"] == 0], part[part["side"] == 1]
-            n, names = [s["n"].to_numpy() for s in (xs, ys)], [s["uid"].to_numpy() for s in (xs, ys)]
-            uid, root = (np.split(pd.factorize(pd.concat([xs[c], ys[c]]), sort=True)[0], [len(xs)]) for c in ("uid", "root"))
-            sign = [scheme.words(s["signature"].tolist()) for s in (xs, ys)]
-            same = part["i"].iloc[0] == part["j"].iloc[0]
-            for lo in range(0, len(xs), 256):
-                at = slice(lo, lo + 256)
-                score = scheme.agreeing(sign[0][at, None], sign[1][None])
-                smaller, larger = np.minimum(n[0][at, None], n[1][None]), np.maximum(n[0][at, None], n[1][None])
-                likely = (score >= least) & (100 * smaller >= percent * larger)
-                likely &= uid[0][at, None] < uid[1][None] if same else uid[0][at, None] != uid[1][None]
-                apart = likely & (root[0][at, None] != root[1][None])
-                rows = np.flatnonzero(apart.any(1))
-                for r in rows:  # places are among all likely partners, so they stay when components join
-                    order = np.lexsort((uid[1], -score[r]))
-                    order = order[likely[r][order]]
-                    place = np.flatnonzero(apart[r][order])
-                    out += [(names[0][lo + r], names[1][order[p]], False) for p in place if first <= p < last]
-                    if len(place) and place[-1] >= last:
-                        out.append((names[0][lo + r], None, True))
-        return pd.DataFrame(out, columns=["u", "v", "more"])
+            sides = [part[part["side"] == s] for s in (0, 1)]
+            if not len(sides[0]) or not len(sides[1]):
+                continue
+            band = int(part["band"].iloc[0])
+            n = [s["n"].to_numpy() for s in sides]
+            roots = np.split(pd.factorize(pd.concat([s["root"] for s in sides]))[0], [len(sides[0])])
+            sign = [scheme.words(s["signature"].tolist()) for s in sides]
+            keys = [np.stack(s["keys"].to_list())[:, :band] for s in sides]
+            wanted = [np.zeros(len(s), bool) for s in sides]
+            for lo in range(0, len(sides[0]), 128):
+                for to in range(0, len(sides[1]), 4096):
+                    x, y = slice(lo, lo + 128), slice(to, to + 4096)
+                    smaller, larger = np.minimum(n[0][x, None], n[1][None, y]), np.maximum(n[0][x, None], n[1][None, y])
+                    a, b = np.nonzero((100 * smaller >= percent * larger) & (roots[0][x, None] != roots[1][None, y]))
+                    a, b = a + lo, b + to
+                    for k in range(0, len(a), 100_000):
+                        p, q = a[k:k + 100_000], b[k:k + 100_000]
+                        on = scheme.agreeing(sign[0][p], sign[1][q]) >= least
+                        p, q = p[on], q[on]
+                        on = ~(keys[0][p] == keys[1][q]).any(1)
+                        wanted[0][p[on]], wanted[1][q[on]] = True, True
+            out += [s.loc[w, ["key", "i", "j", "side", "uid", "root"]] for s, w in zip(sides, wanted, strict=True)]
+        return pd.concat(out)
+    return run
+
+
+def _forest(percent: int, shingle: int):
+    """Links (u, v) of a part's texts that join components, as a spanning forest: common shingles are counted for one x and all y at a time."""
+    def run(pdf):
+        import pandas as pd
+
+        xs, ys = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        sets = [shingle_set(t, shingle) for t in ys["text"]]
+        sizes = np.array([len(s) for s in sets], np.int64)
+        hashes = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        order = np.argsort(hashes, kind="stable")
+        hashes, of = hashes[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        label = {r: r for r in pdf["root"]}
+
+        def root(r: bytes) -> bytes:
+            while label[r] != r:
+                label[r] = r = label[label[r]]
+            return r
+
+        y_uid, y_root, out = ys["uid"].tolist(), ys["root"].tolist(), []
+        for u, r, text in zip(xs["uid"], xs["root"], xs["text"], strict=True):
+            mine = shingle_set(text, shingle)
+            lo, hi = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+            many = hi - lo
+            at = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+            common = np.bincount(of[at], minlength=len(sets))
+            for k in np.flatnonzero(100 * common >= percent * (len(mine) + sizes - common)).tolist():
+                a, b = root(r), root(y_root[k])
+                if a != b:
+                    label[max(a, b)] = min(a, b)
+                    out.append((u, y_uid[k]))
+        return pd.DataFrame(out, columns=["u", "v"])
     return run
 
 
+def _across(shared: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, scheme: Scheme, percent: int, shingle: int, id_col: str, text_col: str,
+            chunk: int) -> DataFrame:
+    """Step 2: links between components that a bucket of ``shared`` (key, band, uid, n) holds."""
+    placed = (shared.join(roots, F.col("uid") == F.col("node"), "left").select("key", "band", "uid", "n", F.coalesce("root", "uid").alias("root")))
+    placed = cut_lineage(placed)
+    sizes = placed.groupBy("key", "root").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("held"))
+    torn = sizes.groupBy("key").agg(F.max_by("root", F.struct("held", "root")).alias("main"), F.sum("n").alias("all_n"), F.max(F.struct("held", "root", "n")).alias("m"), F.count(F.lit(1)).alias("roots"))
+    torn = torn.where("roots > 1").select("key", "main", F.ceil((F.col("all_n") - F.col("m.n")) / chunk).cast("int").alias("gx"), F.ceil(F.col("all_n") / chunk).cast("int").alias("gy"))
+    rows = placed.join(torn, "key").join(classes.select("uid", "signature", "keys"), "uid")
+    chunk_of = lambda g: F.pmod(F.xxhash64(F.lit(7), "uid"), F.col(g)).cast("int")
+    cols = ["key", "band", "i", "j", "side", "uid", "root", "n", "signature", "keys"]
+    one = (rows.where("root != main").withColumn("i", chunk_of("gx")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("gy") - 1))).withColumn("side", F.lit(0)))
+    two = rows.withColumn("j", chunk_of("gy")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("gx") - 1))).withColumn("side", F.lit(1))
+    parts = cut_lineage(one.select(cols).unionByName(two.select(cols)))
+    tasks = max(1, parts.count() // TASK_ROWS)
+    schema = "key long, i int, j int, side int, uid binary, root binary"
+    found = parts.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks))).groupBy("task").applyInPandas(_likely_members(scheme, percent), schema)
+    members = cut_lineage(found)
+    texts = _texts(members.select("uid").distinct(), classes, docs, id_col, text_col)
+    return members.join(texts, "uid").groupBy("key", "i", "j").applyInPandas(_forest(percent, shingle), "u binary, v binary")
+
+
 def links(classes: DataFrame, docs: DataFrame, scheme: Scheme, percent: int = 85, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text",
-          chunk: int = CHUNK, first: int = FIRST) -> DataFrame:
-    """(uid, root): components of the classes (uid, n, keys, signature, text_key) under links of at least ``percent`` % similarity."""
-    entries = classes.select("uid", F.explode("keys").alias("key"))
-    # another representative in every band: the least by a hash of bucket and class; alone in its bucket, a class has no partner
-    order = F.struct(F.xxhash64("key", "uid"), F.col("uid"))
-    stars = entries.groupBy("key").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    stars = cut_lineage(stars.select("key", F.col("least.uid").alias("v"), "held"))
-    shared = cut_lineage(entries.join(stars, "key"))
+          chunk: int = CHUNK) -> DataFrame:
+    """(uid, root): components of the classes (uid, n, keys, signature, text_key) under links of at least ``percent`` % similarity.
+
+    ``chunk`` never changes the result.
+    """
+    entries = classes.select("uid", "n", F.posexplode("keys").alias("band", "key"))
+    stars = entries.groupBy("key").agg(F.min(F.struct(F.xxhash64("uid").alias("h"), "uid")).alias("least"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = cut_lineage(entries.join(stars.select("key", F.col("least.uid").alias("v")), "key"))
     pairs = shared.where("uid != v").select(F.col("uid").alias("u"), "v").distinct()
-    sure = cut_lineage(_confirmed(cut_lineage(_likely(pairs, classes, scheme, percent)), classes, docs, percent, shingle, id_col, text_col))
+    likely = cut_lineage(_likely(pairs, classes, scheme, percent))
+    texts = _texts(likely.select(F.explode(F.array("u", "v")).alias("uid")).distinct(), classes, docs, id_col, text_col)
+    sure = cut_lineage(_confirmed(likely, texts, percent, shingle))
     roots = cut_lineage(components(sure))
-    while True:
-        placed = shared.select("key", "uid", "held").join(roots, F.col("uid") == F.col("node"), "left").select("key", "uid", "held", F.coalesce("root", "uid").alias("root"))
-        torn = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a != z").select("key")
-        rows = placed.join(torn, "key").join(classes.select("uid", "n", "signature"), "uid")
-        chunks = F.ceil(F.col("held") / chunk).cast("int")
-        rows = rows.withColumn("c", F.pmod(F.xxhash64(F.lit(7), "uid"), chunks).cast("int")).withColumn("last", chunks - 1)
-        # the chunk is a first side with those from its own on, a second side with those up to its own
-        one = rows.withColumn("j", F.explode(F.sequence(F.col("c"), F.col("last")))).withColumn("i", F.col("c")).withColumn("side", F.lit(0))
-        two = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("c")))).withColumn("j", F.col("c")).withColumn("side", F.lit(1))
-        cols = ["key", "i", "j", "side", "uid", "root", "n", "signature"]
-        parts = cut_lineage(one.select(cols).unionByName(two.select(cols)))
-        buckets = max(1, parts.count() // TASK_ROWS)
-        at = F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets))
-        found = cut_lineage(parts.withColumn("task", at).groupBy("task").applyInPandas(_partners(scheme, percent, first - FIRST, first), "u binary, v binary, more boolean"))
-        more = found.where("more").limit(1).count()
-        pairs = found.where("NOT more").select("u", "v").distinct()
-        new = cut_lineage(_confirmed(pairs, classes, docs, percent, shingle, id_col, text_col))
-        if new.limit(1).count():
-            sure = cut_lineage(sure.unionByName(new))
-            roots = cut_lineage(components(sure))
-        if not more:
-            return classes.join(roots, F.col("uid") == F.col("node"), "left").select("uid", F.coalesce("root", "uid").alias("root"))
-        first = 2 * first + FIRST
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 85, scheme: Scheme | None = None) -> DataFrame:
+    more = cut_lineage(_across(shared.select("key", "band", "uid", "n"), roots, classes, docs, scheme, percent, shingle, id_col, text_col, chunk))
+    if not more.isEmpty():
+        roots = cut_lineage(components(sure.unionByName(more)))
+    return classes.join(roots, F.col("uid") == F.col("node"), "left").select("uid", F.coalesce("root", "uid").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 85, scheme: Scheme | None = None,
+                    chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row.
 
     Texts of fewer than ``shingle`` words have their whole word sequence as one
@@ -275,7 +315,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = rows.where("uid IS NOT NULL").groupBy("uid").agg(
         F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
     classes = cut_lineage(classes)
-    rooted = cut_lineage(links(classes, docs, scheme, percent, shingle, id_col, text_col))
+    rooted = cut_lineage(links(classes, docs, scheme, percent, shingle, id_col, text_col, chunk))
     ids = rooted.join(classes.select("uid", "least"), "uid").groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("uid", "component_id")
     component = F.when(F.col("uid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

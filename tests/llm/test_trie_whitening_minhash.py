@@ -194,10 +194,8 @@ def edited(rng, words, share):
     return [f"e{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
 
 
-@pytest.mark.parametrize("chunk,first", [(4, 2), (bbit_minhash.CHUNK, bbit_minhash.FIRST)])
-def test_near_duplicates_against_brute_force(spark, chunk, first, monkeypatch):
-    monkeypatch.setattr(bbit_minhash, "FIRST", first)
-    monkeypatch.setattr(bbit_minhash.links, "__defaults__", (85, 5, "doc_id", "text", chunk, first))
+@pytest.mark.parametrize("chunk", [500, bbit_minhash.CHUNK])
+def test_near_duplicates_against_brute_force(spark, chunk):
     rng, texts = random.Random(11), []
     for _ in range(12):  # groups about the threshold, so that many pairs of a bucket aren't links
         base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([30, 120, 300]))]
@@ -205,27 +203,35 @@ def test_near_duplicates_against_brute_force(spark, chunk, first, monkeypatch):
     texts += ["", None, " \n", "one two", "One  TWO", "one two three four five", "one two three four five six", "x " * 20_000, "x " * 7, "a b c d e f " * 3000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (3, texts[3]), (500, "ONE two"), (None, "only here and nowhere else at all")]
     docs = spark.createDataFrame([(d, t, "x", "y") for d, t in rows], "doc_id long, text string, uid string, keys string").repartition(6)
-    got = bbit_minhash.near_duplicates(docs).collect()
+    got = bbit_minhash.near_duplicates(docs, chunk=chunk).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == groups_by_hand(rows)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_rounds_reach_every_partner():
-    """Two chunks whose classes are all likely partners and all of different components: every pair is handed out once."""
+def test_members_with_a_likely_partner(spark):
+    """Alike in all bands, of different components: the pair is looked at in its first bucket; a partner of the same component or of another size is none."""
     import pandas as pd
 
     scheme = bbit_minhash.Scheme()
-    sign = scheme.signature(scheme.minima(np.arange(5, dtype=np.uint64)))
-    side = [pd.DataFrame({"key": 1, "i": 0, "j": j, "side": s, "uid": [b"%d-%02d" % (s * j, k) for k in range(20)], "root": [b"%d-%02d" % (s * j, k) for k in range(20)],
-                          "n": 100, "signature": sign}) for j in (0, 1) for s in (0, 1)]
-    seen, first, more = [], 3, True
-    while more:
-        out = bbit_minhash._partners(scheme, 85, (first - 3) if first == 3 else last, first)(pd.concat(side))
-        more, last = bool(out["more"].any()), first
-        seen += [(u, v) for u, v, m in out.itertuples(index=False) if not m]
-        first = 2 * first + 3
-    names = [b"0-%02d" % k for k in range(20)], [b"1-%02d" % k for k in range(20)]
-    assert sorted(seen) == sorted([*itertools.combinations(names[0], 2), *itertools.product(*names)])
+    minima = scheme.minima(np.arange(5, dtype=np.uint64))
+    row = {"i": 0, "j": 0, "signature": scheme.signature(minima), "keys": scheme.keys(minima)}
+    far = scheme.signature(scheme.minima(np.arange(100, 105, dtype=np.uint64)))
+    members = [(0, b"a", b"a", 100, row["signature"]), (1, b"b", b"b", 100, row["signature"]), (1, b"c", b"a", 100, row["signature"]), (1, b"d", b"d", 300, row["signature"]),
+               (1, b"e", b"e", 100, far)]
+    pdf = pd.DataFrame([{**row, "band": band, "key": band, "side": s, "uid": u, "root": r, "n": n, "signature": g} for band in (0, 3) for s, u, r, n, g in members])
+    got = bbit_minhash._likely_members(scheme, 85)(pdf)
+    assert sorted(zip(got["key"], got["side"], got["uid"], strict=True)) == [(0, 0, b"a"), (0, 1, b"b")]
+
+
+def test_forest_of_a_part():
+    import pandas as pd
+
+    base = [f"w{i}" for i in range(200)]
+    texts = {b"a": base, b"b": [*base[:-4], "x"], b"c": [*base[:-9], "y"], b"d": base[:100], b"e": [*base, "z"]}
+    pdf = pd.DataFrame([{"side": s, "uid": u, "root": r, "text": " ".join(texts[u]).encode()} for s, u, r in
+                        ((0, b"a", b"a"), (0, b"d", b"d"), (1, b"b", b"b"), (1, b"c", b"c"), (1, b"e", b"b"), (1, b"d", b"d"))])
+    got = bbit_minhash._forest(85, 5)(pdf)
+    assert sorted(zip(got["u"], got["v"], strict=True)) == [(b"a", b"b"), (b"a", b"c")]  # e is in b's component already, d is too short
 
 
 @pytest.mark.parametrize("bits", [1, 2, 4, 8])
