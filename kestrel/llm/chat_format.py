@@ -109,10 +109,10 @@ def render(parts: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
-    """Adds ``turns`` (role, text) and ``trained`` (texts under the loss), unescaped, parsed from the output of ``render``."""
+    """Adds ``turns`` (role, text) and ``trained`` (what ``loss_spans`` mark of ``formatted``), unescaped, read from the output of ``render``."""
     cut = F.filter(F.split("formatted", re.escape(template.open)), lambda x: x != "")
     turn = F.transform(cut, lambda x: F.struct(
         template.unescape(F.substring_index(x, template.middle, 1)).alias("role"),
         template.unescape(F.substring_index(F.substring_index(x, template.middle, -1), template.close, 1)).alias("text")))
-    trained = F.transform("loss_segments", lambda s: template.unescape(s))
+    trained = F.transform("loss_spans", lambda s: template.unescape(F.substring(F.col("formatted"), s["start"] + 1, s["size"])))
     return formatted.withColumn("turns", turn).withColumn("trained", trained)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from kestrel.session import cut_lineage
 from kestrel.sources.tables import table
 
-__all__ = ["cut_lineage", "document_key", "n_words", "table", "text_slices"]
+__all__ = ["cut_lineage", "document_key", "free_name", "n_words", "row_key", "table", "text_slices"]
 
 
 def n_words(text: Column) -> Column:
@@ -23,6 +24,20 @@ def document_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
 
 
+def row_key(df: DataFrame) -> Column:
+    """128-bit key of a row by all its columns: rows that differ in any have different keys."""
+    return F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{f.name}`").cast("string").alias(f"c{i}") if isinstance(f.dataType, BinaryType) else F.col(f"`{f.name}`").alias(f"c{i}")
+                                              for i, f in enumerate(df.schema.fields)]), {"ignoreNullFields": "false"})))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, such that ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_slices(batches: Iterator, size: int = 1 << 20) -> Iterator[tuple]:
     """Arrow batches as (columns, texts) pieces of about ``size`` bytes of text.
 

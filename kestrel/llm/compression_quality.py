@@ -102,8 +102,8 @@ def fit(docs: DataFrame, labels: DataFrame, dict_rows: int = 1500, curve_rows: i
     texts, whole.  Labels that are null, not 0 or 1, or contradict each other for
     an id are left out.  Without labels every score is 0.5.
     """
-    key = F.col(id_col).cast("long")
-    marks = (labels.select(key.alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    key = F.col(f"`{id_col}`").cast("long")
+    marks = (labels.select(key.alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most"))
     for_curve = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, dict_rows: int = 1500, curve_rows: i
     chosen = [pick(marks.where(~for_curve & (F.col("label") == k)), dict_rows).withColumn("curve", F.lit(False)) for k in (0, 1)]
     chosen.append(pick(marks.where(for_curve), curve_rows).withColumn("curve", F.lit(True)))
     sample = reduce(DataFrame.unionByName, chosen)  # at most 2 * dict_rows + curve_rows small rows
-    rows = docs.select(key.alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(sample), "doc_id").where(F.length("text") > 0)
+    rows = docs.select(key.alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id").where(F.length("text") > 0)
 
     middle = F.expr(f"substring(text, greatest(1, cast((length(text) - {text_bytes}) / 2 as int)), {text_bytes})")
     texts: dict[int, list[bytes]] = {0: [], 1: []}
@@ -148,7 +148,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
     A null text counts as empty; an empty text has difference 0 and the score
     of that.  Nothing but the text is an input of the score.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     out = differences(rows, model, ["doc_id"], "doc_id long")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), F.col("d").alias("difference"))

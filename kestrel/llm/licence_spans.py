@@ -142,12 +142,15 @@ class Scanner:
         out = []
         for t, found in by.items():
             chains: list[list[int]] = []  # first place, place behind in the text, place behind in the template, words covered
+            near: list[list[int]] = []  # those that may still go on
             for x, y, n in sorted(set(found)):
+                near = [c for c in near if x - c[1] <= self.max_gap]
                 # goes on behind in text and template, after a small gap or overlap
-                best = max((c for c in chains if x + n > c[1] and y + n > c[2] and -self.min_run < x - c[1] <= self.max_gap and -self.min_run < y - c[2] <= self.max_gap),
+                best = max((c for c in near if x + n > c[1] and y + n > c[2] and -self.min_run < x - c[1] <= self.max_gap and -self.min_run < y - c[2] <= self.max_gap),
                            key=lambda c: c[3], default=None)
                 if best is None:
                     chains.append([x, x + n, y + n, n])
+                    near.append(chains[-1])
                 else:
                     best[1:] = [x + n, y + n, best[3] + min(n, x + n - best[1], y + n - best[2])]
             out += [(c[0], c[1] - 1, self.labels[t], min(1.0, c[3] / self.sizes[t])) for c in chains if c[3] >= self.cover * self.sizes[t]]

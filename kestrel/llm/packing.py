@@ -36,9 +36,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, e
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        from kestrel.llm.word_tokens import WordTokens
+        from kestrel.llm.word_tokens import word_tokens
 
-        tokens, last, step = WordTokens(tokenizer_path), int(end_id).to_bytes(4, "little"), 4 * max_tokens
+        tokens, last, step = word_tokens(tokenizer_path), int(end_id).to_bytes(4, "little"), 4 * max_tokens
         for (ids,), texts in text_slices(batches):
             rows: list[tuple] = []
             for doc, raw in zip(ids, tokens.ids(texts), strict=True):
@@ -53,7 +53,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, e
                 columns, names = [*columns, pa.array(cut, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     return rows.mapInArrow(run, _PIECE + (", ids binary" if with_ids else ""))
 
 
@@ -110,25 +110,30 @@ def _pack_part(capacity: int):
 
 
 def pack(pieces: DataFrame, max_tokens: int = 4096, part_rows: int = 100_000, rounds: int = 3) -> DataFrame:
-    """``pieces`` (any columns with ``length`` in 1..max_tokens) plus sequence_id, offset, bins, bound.
+    """``pieces`` (any columns with ``length`` in 1..max_tokens) plus sequence_id, offset, bins, bound, in place of columns of these names.
 
     ``bins`` and ``bound`` are those of the row's partition: where they are
     equal the partition is certified to need that many sequences.  Pieces of
     full length are sequences of their own.  Rows come back as often as they
     came; an empty table gives none.
     """
-    rows = cut_lineage(pieces.withColumn("length", F.col("length").cast("long")))
+    pieces = pieces.drop("sequence_id", "offset", "bins", "bound")
+    names = pieces.columns
+    # names of its own within: those of the caller may be any
+    rows = pieces.toDF(*["length" if c == "length" else f"c{i}" for i, c in enumerate(names)])
+    rows = cut_lineage(rows.withColumn("length", F.col("length").cast("long")))
     # ids of rows in a checkpoint don't change if a task runs again
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     full = numbered.where(F.col("length") == max_tokens).select(
         *rows.columns, (-F.col("_row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound"))
     rest = numbered.where(F.col("length") < max_tokens)
     n = rest.count()
+    named = lambda df: df.toDF(*names, "sequence_id", "offset", "bins", "bound")
     if not n:
-        return full
+        return named(full)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
     out = f"{fields}, _part long, bin long, offset long, bins long, bound long"
-    own = [f.name for f in rest.schema.fields]
+    own = rest.columns
 
     def packed(df: DataFrame, parts: int, deal: int) -> DataFrame:
         dealt = df.select(*own, (F.pmod(F.xxhash64("_row", F.lit(deal)), F.lit(parts)) + deal * (1 << 24)).alias("_part"))
@@ -149,4 +154,4 @@ def pack(pieces: DataFrame, max_tokens: int = 4096, part_rows: int = 100_000, ro
     for d in done:
         now = now.unionByName(d)
     placed = now.select(*rows.columns, (F.col("_part") * (1 << 24) + F.col("bin")).alias("sequence_id"), "offset", "bins", "bound")
-    return placed.unionByName(full)
+    return named(placed.unionByName(full))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut_lineage, document_key, n_words
+from kestrel.llm.common import cut_lineage, free_name, n_words, row_key
 from kestrel.plans.ordered import running
 
 BINS = 4096
@@ -117,9 +117,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
 
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with each row as often as ``mix`` takes it, all columns kept; equal documents share their copies."""
-    keyed = docs.withColumn("_uid", document_key(id_col, text_col))
-    copies = (mix(keyed, id_col=id_col, source_col=source_col, text_col=text_col, key_cols=("_uid",), **how)
-              .groupBy(F.col("_uid").alias("_k")).agg(F.sum("copies").alias("_n")).where("_n > 0"))
-    once = keyed.dropDuplicates(["_uid"]).join(copies, F.col("_uid") == F.col("_k"))
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy")).drop("_copy")
+    """``docs`` with each row as often as ``mix`` takes it, all columns kept; rows that are equal in all of them share their copies."""
+    key, n, nth = (free_name(docs, c) for c in ("_key", "_copies", "_nth"))
+    keyed = docs.withColumn(key, row_key(docs))
+    copies = (mix(keyed, id_col=id_col, source_col=source_col, text_col=text_col, key_cols=(key,), **how)
+              .groupBy(key).agg(F.sum("copies").alias(n)).where(F.col(n) > 0))
+    once = keyed.dropDuplicates([key]).join(copies, key)
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias(nth)).drop(nth)

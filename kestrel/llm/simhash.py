@@ -1,7 +1,7 @@
 """SimHash near-duplicates by anchor-point covering.
 
-A 64-bit fingerprint is cut into ``blocks`` equal blocks.  If two fingerprints
-differ in at most ``max_bits`` bits, some block differs in at most
+A 64-bit fingerprint is cut into ``blocks`` blocks of about equal size.  If two
+fingerprints differ in at most ``max_bits`` bits, some block differs in at most
 ``t = max_bits // blocks``.  Each block has a covering code as its anchors: a
 perfect Hamming code (covering radius 1) on the first 2^m - 1 bits, every value
 of the bits left over.  A fingerprint has its home at the nearest anchor of each
@@ -9,8 +9,9 @@ block and is replicated to every anchor within covering radius + t, so the two
 fingerprints of such a pair meet at the home anchor of either.  Per anchor, home
 rows are compared with replicated rows on all 64 bits.
 
-For the default (four blocks of 16 bits, t = 1) a fingerprint makes about 8.6
-copies a block and an anchor sees 1/480 of the fingerprints.  Only distinct
+For the default (blocks of 21, 21 and 22 bits, t = 1) a fingerprint makes about
+14 copies a block, and an anchor sees 1/10,000 of the fingerprints as copies and
+1/100,000 of them at home.  Only distinct
 fingerprints take part, however many texts share one.  An anchor with much work
 is cut into salted parts (its home rows split, its replicated rows repeated), and
 a part returns a spanning forest of its links rather than all pairs, which keeps
@@ -20,13 +21,14 @@ every component and none of the quadratic output.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut_lineage, document_key, text_slices
+from kestrel.llm.common import cut_lineage, document_key, free_name, row_key, text_slices
 from kestrel.llm.components import components
 
 #: Pairs compared at once in a part, and pairs that a salted part should not exceed.
@@ -56,18 +58,18 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, uid, fp) per row: uid is ``document_key``, fp the fingerprint's 64 bits as a signed long.  Null text: no words, so 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, key: str | None = None) -> DataFrame:
+    """(doc_id, uid, fp) per row: uid is ``document_key``, or the binary column ``key``, fp the fingerprint's 64 bits as a signed long.  Null text: no words, so 0."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for (ids, uids), texts in text_slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(uids, pa.int64()), pa.array(fps)], names=["doc_id", "uid", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(uids, pa.binary() if key else pa.int64()), pa.array(fps)], names=["doc_id", "uid", "fp"])
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), document_key(id_col, text_col).alias("uid"),
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), (F.col(f"`{key}`") if key else document_key(id_col, text_col)).alias("uid"),
                        F.col(f"`{text_col}`").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, uid long, fp long")
+    return rows.mapInArrow(run, f"doc_id long, uid {'binary' if key else 'long'}, fp long")
 
 
 class Anchors:
@@ -106,21 +108,33 @@ class Anchors:
         return np.concatenate(rows), np.concatenate(out)
 
 
+@lru_cache
+def anchors(width: int, spread: int) -> Anchors:
+    """The code of a worker process."""
+    return Anchors(width, spread)
+
+
+def block_widths(blocks: int) -> list[int]:
+    """Bits of each block, from the lowest."""
+    return [64 * (b + 1) // blocks - 64 * b // blocks for b in range(blocks)]
+
+
 def _at_anchors(blocks: int, spread: int):
-    width = 64 // blocks
+    widths = block_widths(blocks)
 
     def run(frames: Iterator) -> Iterator:
         import pandas as pd
 
-        code = Anchors(width, spread)
+        codes = {w: anchors(w, spread) for w in set(widths)}
         for pdf in frames:
             for lo in range(0, len(pdf), 20_000):
                 fp = pdf["fp"].to_numpy()[lo:lo + 20_000]
                 parts = []
-                for b in range(blocks):
-                    value = ((fp.view(np.uint64) >> np.uint64(b * width)) & np.uint64((1 << width) - 1)).astype(np.uint32)
+                for b, width in enumerate(widths):
+                    code, low = codes[width], sum(widths[:b])
+                    value = ((fp.view(np.uint64) >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.uint32)
                     row, anchor = code.near(value)
-                    parts += [(b << width | code.home(value).astype(np.int64), fp, True), (b << width | anchor.astype(np.int64), fp[row], False)]
+                    parts += [(b << 32 | code.home(value).astype(np.int64), fp, True), (b << 32 | anchor.astype(np.int64), fp[row], False)]
                 yield pd.DataFrame({"anchor": np.concatenate([p[0] for p in parts]), "fp": np.concatenate([p[1] for p in parts]),
                                     "home": np.concatenate([np.full(len(p[1]), p[2]) for p in parts])})
     return run
@@ -164,7 +178,7 @@ def _forests(max_bits: int):
         """Links of a bucket of whole (anchor, part)s."""
         import pandas as pd
 
-        key = pdf["anchor"].to_numpy() << 20 | pdf["part"].to_numpy()
+        key = pdf["anchor"].to_numpy() << 20 | pdf["part"].to_numpy()  # an anchor takes 34 bits
         order = np.argsort(key, kind="stable")
         fp, home = pdf["fp"].to_numpy().view(np.uint64)[order], pdf["home"].to_numpy()[order]
         cuts = np.flatnonzero(np.diff(key[order])) + 1
@@ -178,19 +192,19 @@ def _forests(max_bits: int):
     return run
 
 
-def links(distinct_fps: DataFrame, max_bits: int = 4, blocks: int = 4, part_pairs: int = PART_PAIRS) -> DataFrame:
+def links(distinct_fps: DataFrame, max_bits: int = 4, blocks: int = 3, part_pairs: int = PART_PAIRS) -> DataFrame:
     """(u, v): links of distinct fingerprints ``fp`` that differ in at most ``max_bits`` bits.
 
     Every pair within ``max_bits`` is joined by a path of returned links, and
     every returned link is such a pair; ``part_pairs`` bounds the comparisons
     of one salted part and never changes the result's components.
     """
-    spread, width = max_bits // blocks, 64 // blocks
-    if 64 % blocks or width > 16:
-        raise ValueError("blocks must divide 64 into blocks of at most 16 bits")
+    spread = max_bits // blocks
+    if max(block_widths(blocks)) > 22:
+        raise ValueError("blocks must be of at most 22 bits")
     rows = distinct_fps.select("fp").mapInPandas(_at_anchors(blocks, spread), "anchor long, fp long, home boolean")
     work = rows.groupBy("anchor").agg(F.sum(F.col("home").cast("long")).alias("h"), F.count(F.lit(1)).alias("n"))
-    # at most blocks * 2^width rows, whatever the input's size
+    # only anchors of more than part_pairs comparisons, of at most blocks * 2^18 whatever the input's size
     parts = work.select("anchor", F.greatest(F.lit(1), F.least(F.col("h"), F.ceil(F.col("h") * (F.col("n") - F.col("h")) / part_pairs))).cast("int").alias("parts")).where("parts > 1")
     rows = rows.join(F.broadcast(parts), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = rows.where("home").select("anchor", "fp", "home", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("part"))
@@ -208,7 +222,7 @@ def _rooted(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4,
-                    blocks: int = 4) -> DataFrame:
+                    blocks: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.
 
     Texts of fewer than ``shingle`` words hash their whole word sequence; texts
@@ -224,11 +238,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 4) -> DataFrame:
-    """The row of the smallest doc_id (null last, then key) of each component of ``docs``, with all its columns; one of equal rows."""
-    rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, blocks: int = 3) -> DataFrame:
+    """The row of the smallest doc_id (null last, then a hash of all columns) of each component of ``docs``, with all its columns; one of equal rows."""
+    key = free_name(docs, "_key")
+    keyed = docs.withColumn(key, row_key(docs))
+    rows = cut_lineage(fingerprints(keyed, id_col, text_col, shingle, key))
     rooted = cut_lineage(_rooted(rows, max_bits, blocks).select("fp", "root"))
     first = (rows.join(rooted, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("k"))
-             .select(F.col("k.uid").alias("_kept")))
-    keyed = docs.withColumn("_uid", document_key(id_col, text_col))
-    return keyed.join(first, F.col("_uid") == F.col("_kept"), "left_semi").dropDuplicates(["_uid"]).drop("_uid")
+             .select(F.col("k.uid").alias(key)))
+    return keyed.join(first, key, "left_semi").dropDuplicates([key]).drop(key)
