@@ -119,3 +119,26 @@ def last_n_mean(df: DataFrame, key: str, order: str, value: str, n: int) -> Data
               .select(key, (F.col("_pos") + F.col("_d")).alias("_pos"), value)
     agg = copies.groupBy(key, "_pos").agg(F.avg(value).alias("running_mean"))
     return r.join(agg, [key, "_pos"]).drop("_pos")
+
+
+def track_sequences(poses: DataFrame, target: int = -1, video: str = "video_id", frame: str = "frame_idx", track: str = "track_id") -> DataFrame:
+    """Video, track, pos, src_frame: the frame that stands at each place of the sequence of every track of the target frame.
+
+    Places are the video's frames in order, ``target`` one of them (from the end,
+    if negative; taken modulo their number).  From the target outwards a track
+    stands for itself as long as no frame is without it; beyond, its last frame
+    before the gap is repeated to the end.  (The reference leaves zeros on the
+    right-hand side.)  Rows without a track (null or negative) only make frames.
+    """
+    frames = positions(poses.select(video, frame).distinct(), video, frame)
+    at = F.pmod(F.col("n") + target, F.col("n"))
+    held = (poses.where(F.col(track) >= 0).select(video, frame, track).distinct().join(frames, [video, frame])
+            .select(video, track, "pos", "n", at.alias("_at")))
+    # runs without a gap: place minus rank is the same in one
+    ranked = running(held, [video, track], [F.col("pos")], rank_col="_r")
+    runs = ranked.groupBy(video, track, (F.col("pos") - F.col("_r")).alias("_run")).agg(
+        F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.first("n").alias("n"), F.first("_at").alias("_at"))
+    runs = runs.where(F.col("_at").between(F.col("lo"), F.col("hi")))
+    each = runs.select(video, track, "lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)).alias("pos"))
+    src = each.select(video, track, F.col("pos").alias("_pos"), F.least(F.greatest("pos", "lo"), "hi").alias("pos"))
+    return src.join(frames.select(video, "pos", F.col(frame).alias("src_frame")), [video, "pos"]).select(video, track, F.col("_pos").alias("pos"), "src_frame")

@@ -94,14 +94,15 @@ def _margin2(cell: float, ring: int):
 
 
 def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pid: str = "pt_id",
-        qid: str = "q_id", cell: float = 2.0, max_ring: int = 64) -> DataFrame:
+        qid: str = "q_id", cell: float = 2.0) -> DataFrame:
     """The k nearest points (squared L2; ties -> lower ``pid``) of every
     query in the same ``key`` group.  Output: key, qid, rank, pid, d2.
 
-    Queries whose k-th candidate is not certified by the searched ring are
-    searched again with a doubled ring; those still open beyond ``max_ring`` are
-    compared with all points of their group, so every answer is exact.  A group
-    with fewer than k points returns all its points (the reference pads with
+    A query looks at the 27 cells around it; one whose k-th candidate the searched
+    cube doesn't certify looks again at cells twice as wide, until it is certified
+    or has all points of its group.  So the cells follow the density around each
+    query, every answer is exact, and no query is spread to more than 27 cells.  A
+    group with fewer than k points returns all its points (the reference pads with
     index 0 instead); a query of a group without points returns nothing.
     """
     p = points.select(key, pid, *XYZ)
@@ -109,13 +110,11 @@ def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pi
     sizes = cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_gsize")))
     pending = cut_lineage(pending.join(sizes, key, "left_semi"))
     out = None
-    ring = 1
-    while ring <= max_ring:
+    while True:
         # keep the shuffled rows narrow: ids, distance and the query's certificate
-        cand = _ring_candidates(pending, p, key, cell, ring).select(
-            key, qid, pid, "d2", _margin2(cell, ring).alias("_m2"))
-        # one query's candidates are bounded by the ring volume: plain windows
-        wq = Window.partitionBy(key, qid)
+        cand = _ring_candidates(pending, p, key, cell, 1).select(
+            key, qid, pid, "d2", _margin2(cell, 1).alias("_m2"))
+        wq = Window.partitionBy(key, qid)  # one query's candidates
         top = (cand.withColumn("rank", F.row_number().over(wq.orderBy(F.col("d2"), F.col(pid))))
                    .where(F.col("rank") <= k)
                    .withColumn("_kd2", F.max("d2").over(wq)).withColumn("_found", F.count(F.lit(1)).over(wq))
@@ -128,12 +127,7 @@ def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pi
         pending = cut_lineage(pending.join(done.select(key, qid).distinct(), [key, qid], "left_anti"))
         if pending.isEmpty():
             return out
-        ring *= 2
-    d2 = sum((F.col(a) - F.col(f"q{a}")) * (F.col(a) - F.col(f"q{a}")) for a in XYZ)
-    far = pending.join(p, key).select(key, qid, pid, d2.alias("d2"))
-    rank = F.row_number().over(Window.partitionBy(key, qid).orderBy("d2", pid))
-    far = far.withColumn("rank", rank).where(F.col("rank") <= k).select(key, qid, "rank", pid, "d2")
-    return far if out is None else out.unionByName(far)
+        cell *= 2
 
 
 def ball_query(points: DataFrame, centers: DataFrame, min_radius: float, max_radius: float,
@@ -154,6 +148,40 @@ def ball_query(points: DataFrame, centers: DataFrame, min_radius: float, max_rad
     return first.select(key, qid, (F.col("rank") - 1).alias("slot"), pid).unionByName(pad)
 
 
+def query_and_group(points: DataFrame, centers: DataFrame, sample_num: int, max_radius: float | None = None, min_radius: float = 0.0, feats=(),
+                    normalize: bool = False, uniform: bool = False, seed: int = 42, key: str = "cloud_id", pid: str = "pt_id", qid: str = "q_id",
+                    cell: float = 2.0) -> DataFrame:
+    """Key, qid, slot, pid, dx, dy, dz, ``feats`` and unique_cnt of the ``sample_num`` points grouped with each centre.
+
+    With ``max_radius`` by ``ball_query``, else the nearest ones by ``knn`` (slots
+    by distance).  Offsets are the point minus the centre, over ``max_radius`` if
+    ``normalize``.  With ``uniform`` the distinct hits come first, by id, and the
+    slots left are filled with hits drawn by a hash of seed, centre and slot,
+    instead of the first hit.  A centre without a hit has no rows.
+    """
+    if max_radius is None:
+        if normalize:
+            raise ValueError("offsets are normalized by max_radius")
+        hits = knn(points, centers, sample_num, key, pid, qid, cell).select(key, qid, (F.col("rank") - 1).alias("slot"), pid)
+    else:
+        hits = ball_query(points, centers, min_radius, max_radius, sample_num, key, pid, qid)
+    lists = hits.groupBy(key, qid).agg(F.array_sort(F.collect_set(pid)).alias("_u"), F.array_sort(F.collect_list(F.struct("slot", pid))).alias("_s"))  # at most sample_num
+    n = F.size("_u")
+    drawn = F.get("_u", F.pmod(F.xxhash64(F.lit(seed), F.col(qid), F.col("slot")), n).cast("int"))
+    slots = lists.select(key, qid, "_u", "_s", n.cast("long").alias("unique_cnt"), F.explode(F.sequence(F.lit(0), F.lit(sample_num - 1))).alias("slot"))
+    chosen = F.when(F.col("slot") < n, F.get("_u", F.col("slot"))).otherwise(drawn) if uniform else F.get("_s", F.col("slot"))[pid]
+    rows = slots.select(key, qid, "slot", "unique_cnt", chosen.alias(pid)).where(F.col(pid).isNotNull())
+    c = centers.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ])
+    by = max_radius if normalize else 1.0
+    return (rows.join(points.select(key, pid, *XYZ, *feats), [key, pid]).join(c, [key, qid])
+            .select(key, qid, "slot", pid, *[((F.col(a) - F.col(f"q{a}")) / by).alias(f"d{a}") for a in XYZ], *feats, "unique_cnt"))
+
+
+def group_all(points: DataFrame, feats=(), key: str = "cloud_id", pid: str = "pt_id") -> DataFrame:
+    """Every point of a cloud as one group: key, slot (points by id), pid, x, y, z and ``feats``."""
+    return running(points.select(key, pid, *XYZ, *feats), [key], [F.col(pid)], rank_col="_r").select(key, (F.col("_r") - 1).alias("slot"), pid, *XYZ, *feats)
+
+
 def three_interpolate(points: DataFrame, queries: DataFrame, feat: str, key: str = "cloud_id",
                       pid: str = "pt_id", qid: str = "q_id", cell: float = 2.0) -> DataFrame:
     """Three nearest neighbours (sqrt distances) and the inverse-distance

@@ -26,7 +26,7 @@ def test_assignment_keeps_groups_apart(spark):
 def test_knn_of_sparse_and_empty_clouds(spark):
     points = spark.createDataFrame([(1, 1, 127., 127., 127.), (1, 2, 132., 0., 0.)], "cloud_id long, pt_id long, x double, y double, z double")
     queries = spark.createDataFrame([(1, 7, 0., 0., 0.), (9, 8, 0., 0., 0.)], "cloud_id long, q_id long, x double, y double, z double")
-    got = [(r.q_id, r.rank, r.pt_id, r.d2) for r in S.knn(points, queries, 1, max_ring=4).collect()]
+    got = [(r.q_id, r.rank, r.pt_id, r.d2) for r in S.knn(points, queries, 1).collect()]
     assert got == [(7, 1, 2, 17424.0)]
 
 
