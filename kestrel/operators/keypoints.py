@@ -83,6 +83,22 @@ def pck(dist: DataFrame, thr: float, pt: str = "pt") -> tuple[DataFrame, DataFra
     return per, summary
 
 
+def grouped_pck(dist: DataFrame, groups: dict[str, list[int]], thr: float, pt: str = "pt", inclusive: bool = False) -> DataFrame:
+    """(name, pck): the mean of the joint accuracies of each group of joints, and ``PCK``, weighted by how often a joint is valid.
+
+    ``inclusive`` counts distances up to and with ``thr``.  A joint in no group
+    counts for nothing; a group without a valid joint has 0.
+    """
+    hit = F.col("dist") <= thr if inclusive else F.col("dist") < thr
+    per = dist.groupBy(pt).agg(F.count("dist").alias("n"), F.sum(hit.cast("long")).alias("h")).where("n > 0")
+    names = F.array(*[F.struct(F.lit(k).alias("name"), F.array(*[F.lit(j) for j in v]).alias("joints")) for k, v in groups.items()])
+    of = per.withColumn("g", F.explode(F.filter(names, lambda g: F.array_contains(g["joints"], F.col(pt).cast("int")))))  # joints x groups rows
+    by_group = of.groupBy(F.col("g.name").alias("name")).agg(F.avg(F.col("h") / F.col("n")).alias("pck"))
+    known = dist.sparkSession.createDataFrame([(k,) for k in groups], "name string")
+    whole = of.select(pt, "h", "n").distinct().agg(F.lit("PCK").alias("name"), (F.sum("h") / F.sum("n")).alias("pck"))
+    return known.join(by_group, "name", "left").unionByName(whole.select("name", "pck")).select("name", F.coalesce("pck", F.lit(0.0)).alias("pck"))
+
+
 def auc(dist: DataFrame, num_thrs: int = 20, pt: str = "pt") -> DataFrame:
     """Mean over thresholds i/num_thrs of the joint-averaged PCK (strict <).
 

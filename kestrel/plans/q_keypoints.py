@@ -43,6 +43,19 @@ def pck_summary(spark, sf_dir):
     return s.select(F.round("pck", 6).alias("pck"), "n_joints")
 
 
+#: Groups of the fixture's landmarks, in the way of head, shoulders, elbows.
+GROUPS = {"Head": [9], "Shoulder": [12, 13], "Elbow": [11, 14], "Wrist": [10, 15], "Hip": [2, 3], "Knee": [1, 4], "Ankle": [0, 5]}
+
+
+@register("grouped_pck", _KP + _BBOX_DIST + """,
+per AS (SELECT pt, count(dist) AS n, sum(CASE WHEN dist < 0.05 THEN 1 ELSE 0 END) AS h FROM dist GROUP BY pt HAVING count(dist) > 0),
+g AS (SELECT * FROM (VALUES """ + ", ".join(f"('{k}', {j})" for k, v in GROUPS.items() for j in v) + """) t(name, pt))
+SELECT name, round(avg(h / n), 6) AS pck FROM g JOIN per USING (pt) GROUP BY name UNION ALL SELECT 'PCK', round(sum(h) / sum(n), 6) FROM g JOIN per USING (pt)""")
+def grouped_pck(spark, sf_dir):
+    """Joint groups, and their joints together by how often they are valid."""
+    return K.grouped_pck(_dist_bbox(spark, sf_dir), GROUPS, 0.05).select("name", F.round("pck", 6).alias("pck"))
+
+
 @register("keypoint_auc", _KP + """,
 dist AS (SELECT kp.*, CASE WHEN visible THEN sqrt(((px-gx)/0.1)*((px-gx)/0.1) + ((py-gy)/0.1)*((py-gy)/0.1)) END AS dist FROM kp),
 th AS (SELECT unnest(range(0, 20)) AS i),
