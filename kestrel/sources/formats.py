@@ -1,4 +1,4 @@
-"""Annotation and sample formats: scans with declared schemas, and the writers that make them.
+"""Annotation and sample formats: scans with declared schemas, and the writers that make them.
 
 No scan infers a schema, so a read is one pass and extra fields cost nothing.
 Records that don't parse are left out, and nested lists become rows.
@@ -111,6 +111,45 @@ def read_voc(spark: SparkSession, path: str, classes: list[str], min_size: float
         ((F.coalesce("o.difficult", F.lit(0)) != 0) | small).cast("int").alias("ignore_flag"), x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
 
 
+# -- S9: keypoint annotations, a record a line
+
+KEYPOINTS = ("id long, image_id long, category_id int, iscrowd int, bbox array<double>, keypoints array<double>, num_keypoints int, area double")
+
+
+def keypoint_instances(annotations: DataFrame, images: DataFrame, sample_interval: int = 1) -> DataFrame:
+    """Id, img_id, category_id, x1, y1, x2, y2, keypoints (x, y), visible, num_keypoints, area and iscrowd per annotation.
+
+    ``annotations`` has the columns of ``KEYPOINTS`` (keypoints x, y, v in a row),
+    ``images`` image_id, width, height.  Only images whose id is a multiple of
+    ``sample_interval`` are read.  Boxes are clipped to the image, visibility is at
+    most 1; a missing area is 0.53 of the clipped box (1 at least), a missing
+    number of keypoints that of joints with a coordinate over 0 (or both under).
+    Annotations without box or keypoints, or on unknown images, are left out.
+    """
+    a = annotations.where((F.col("image_id") % sample_interval == 0) & F.col("bbox").isNotNull() & F.col("keypoints").isNotNull())
+    j = a.join(images.select("image_id", "width", "height"), "image_id")
+
+    def clipped(v: Column, side: str) -> Column:
+        return F.least(F.greatest(v, F.lit(0.0)), F.col(side) - 1.0)
+
+    x, y, w, h = (F.get("bbox", i) for i in range(4))
+    j = j.withColumns({"x1": clipped(x, "width"), "y1": clipped(y, "height"), "x2": clipped(x + w, "width"), "y2": clipped(y + h, "height")})
+    joints = F.transform(F.sequence(F.lit(0), F.floor(F.size("keypoints") / 3).cast("int") - 1), lambda k: F.struct(
+        F.get("keypoints", 3 * k).alias("x"), F.get("keypoints", 3 * k + 1).alias("y"), F.get("keypoints", 3 * k + 2).alias("v")))
+    j = j.withColumn("_j", F.when(F.size("keypoints") >= 3, joints).otherwise(F.array().cast("array<struct<x:double,y:double,v:double>>")))
+    counted = F.size(F.filter("_j", lambda p: F.greatest(p["x"], p["y"]) != 0))
+    area = F.greatest((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) * 0.53, F.lit(1.0))
+    return j.select("id", F.col("image_id").alias("img_id"), "category_id", "x1", "y1", "x2", "y2", F.transform("_j", lambda p: F.array(p["x"], p["y"])).alias("keypoints"),
+                    F.transform("_j", lambda p: F.least(F.lit(1.0), p["v"])).alias("visible"), F.coalesce("num_keypoints", counted).alias("num_keypoints"),
+                    F.coalesce("area", area).alias("area"), F.coalesce("iscrowd", F.lit(0)).alias("iscrowd"))
+
+
+def read_keypoints(spark: SparkSession, path: str, images: DataFrame, sample_interval: int = 1) -> DataFrame:
+    """S9 from JSON records, one a line."""
+    rows = spark.read.schema(KEYPOINTS).option("mode", "DROPMALFORMED").json(path)
+    return keypoint_instances(rows, images, sample_interval)
+
+
 # -- S10: detections for a pose model
 
 DETECTIONS = "image_id long, category_id int, bbox array<double>, score double"

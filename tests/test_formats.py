@@ -60,6 +60,18 @@ def test_voc(spark, folder):
     assert got == [("x.y", 0, 0, 0, 2.0, 33.0), ("x.y", 1, 1, 1, 0.0, 30.0), ("x.y", 3, 0, 1, 0.0, 40.0)]
 
 
+def test_keypoints(spark, folder):
+    text(spark, ['{"id": 1, "image_id": 4, "category_id": 1, "bbox": [-5, 2, 20, 30], "keypoints": [1, 2, 2, 0, 0, 0, -1, -2, 1]}',
+                 '{"id": 2, "image_id": 4, "category_id": 1, "bbox": [1, 1, 0, 0], "keypoints": [], "num_keypoints": 9, "area": 5, "iscrowd": 1}',
+                 '{"id": 3, "image_id": 4, "keypoints": [1, 1, 1]}', '{"id": 4, "image_id": 5, "bbox": [0, 0, 1, 1], "keypoints": [1, 1, 1]}', "{"], folder)
+    images = spark.createDataFrame([(4, 10, 20), (5, 10, 20), (6, 1, 1)], "image_id long, width int, height int")
+    got = {r.id: r for r in FM.read_keypoints(spark, folder, images, 2).collect()}
+    assert set(got) == {1, 2}
+    a, b = got[1], got[2]
+    assert (a.x1, a.y1, a.x2, a.y2, a.keypoints, a.visible, a.num_keypoints, a.iscrowd) == (0.0, 2.0, 9.0, 19.0, [[1.0, 2.0], [0.0, 0.0], [-1.0, -2.0]], [1.0, 0.0, 1.0], 2, 0)
+    assert a.area == pytest.approx(9 * 17 * 0.53) and (b.area, b.num_keypoints, b.iscrowd, b.keypoints) == (5.0, 9, 1, [])
+
+
 def test_detections(spark, folder):
     text(spark, ['{"image_id": 2, "category_id": 1, "bbox": [1, 2, 3, 4], "score": 0.5}', '{"image_id": 2, "category_id": 1, "bbox": [0, 0, 3, 4], "score": 0.9}',
                  '{"image_id": 1, "category_id": 2, "bbox": [1, 2, 3, 4], "score": 0.5}', '{"image_id": 7, "category_id": 1, "bbox": [1, 2, 3, 4], "score": 0.5}', "?"], folder)
