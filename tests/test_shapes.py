@@ -241,3 +241,17 @@ def test_panoptic_by_hand(spark):
     parts = {r.part: (r.n, pytest.approx(r.pq)) for r in PA.panoptic_summary(q, [7]).collect()}
     seven, eight = (60 / 70 + 1) / 2.5, 0.75 / 1.5
     assert parts == {"All": (3, (seven + eight) / 3), "Things": (1, seven), "Stuff": (2, eight / 2)}
+
+
+def test_large_ids_keep_their_bits(spark):
+    from kestrel.operators import matchers as M
+
+    big = 1 << 60
+    box = [0.0, 0.0, 10.0, 10.0]
+    dets = spark.createDataFrame([(1, "a", big + k, *box, 1.0 - k / 10) for k in range(3)],
+                                 "image_id long, class_id string, det_id long, x1 double, y1 double, x2 double, y2 double, score double")
+    gts = spark.createDataFrame([(1, "a", big + 7, *box, False)], "image_id long, class_id string, gt_id long, x1 double, y1 double, x2 double, y2 double, ignore_flag boolean")
+    got = {r.det_id: r.gt_match for r in M.match_crowd(dets, gts, keys=("image_id",)).collect()}
+    assert got == {big: big + 7, big + 1: None, big + 2: None}
+    pose = [(1, big + 1, 0.9, 4.0, [0.0, 2.0], [0.0, 2.0]), (1, big + 2, 0.8, 4.0, [0.0, 2.0], [0.0, 2.0]), (1, big + 3, 0.7, 4.0, [5.0, 5.0], [5.0, 5.0])]
+    assert [r.id for r in PN.nearby_joints_nms(spark.createDataFrame(pose, POSE), ["g"], "id", 0.1, 1).collect()] == [big + 1]  # a point is near nothing
