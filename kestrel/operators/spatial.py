@@ -12,9 +12,14 @@ so the answer is exact while the work stays proportional to local density.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from kestrel.operators.blocks import BLOCK, codes, first_of, meet, nearest, numbers, within
 from kestrel.operators.features import spread
 from kestrel.operators.selection import top_n_per_group
 from kestrel.plans.ordered import running
@@ -93,18 +98,64 @@ def _margin2(cell: float, ring: int):
     return m * m
 
 
+def _crowded(points: DataFrame, key: str) -> DataFrame | None:
+    """Keys of the groups of more points than a task takes whole, if there are any."""
+    big = cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > BLOCK).select(key))
+    return None if big.isEmpty() else big
+
+
+def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, find, n: int, feat: str | None = None) -> DataFrame:
+    """key, qid, rank, pid, d2 (and ``feat`` of every point of that id) of the n first points that ``find`` gives for each query, by group."""
+    p = points.dropna(subset=[*XYZ]).select(key, F.col(pid).alias("_p"), *[F.col(a).cast("double").alias(a) for a in XYZ], *([F.col(feat).alias("_feat")] if feat else []))
+    q = queries.dropna(subset=[*XYZ]).select(key, F.col(qid).alias("_q"), *[F.col(a).cast("double").alias(a) for a in XYZ])
+    fields = [q.schema[key], q.schema["_q"], StructField("rank", IntegerType()), p.schema["_p"], StructField("d2", DoubleType()), *([p.schema["_feat"]] if feat else [])]
+
+    def fn(x: pa.Table, y: pa.Table) -> pa.Table:
+        y = y.take(pc.sort_indices(y, [("_p", "ascending")], null_placement="at_start"))
+        i, j, d2 = find(numbers(x, XYZ), numbers(y, XYZ))
+        same = codes(x["_q"]) if x.num_rows else np.empty(0, np.int64)
+        at, rank = first_of(same[i], n, d2, j)  # the candidates of queries of one id are one list
+        i, j, d2 = i[at], j[at], d2[at]
+        if feat:  # every point of that id, as a join by id finds them
+            c = codes(y["_p"]) if y.num_rows else np.empty(0, np.int64)
+            start, end = (np.searchsorted(c, c, side=s) for s in ("left", "right"))
+            times = np.where(y["_p"].is_valid().to_numpy(), end - start, 0)[j]
+            i, rank, d2, first = (np.repeat(v, times) for v in (i, rank, d2, start[j]))
+            j = first + np.arange(len(first)) - np.repeat(np.cumsum(times) - times, times)
+        left, right = x.take(pa.array(i, pa.int64())), y.take(pa.array(j, pa.int64()))
+        more = {"_feat": right["_feat"]} if feat else {}
+        return pa.table({key: left[key], "_q": left["_q"], "rank": pa.array(rank, pa.int32()), "_p": right["_p"], "d2": pa.array(d2, pa.float64()), **more})
+
+    out = meet(q, p, [key], fn, StructType(fields), by_left=["_q"])
+    return out.select(key, F.col("_q").alias(qid), "rank", F.col("_p").alias(pid), "d2", *([F.col("_feat").alias(feat)] if feat else []))
+
+
 def knn(points: DataFrame, queries: DataFrame, k: int, key: str = "cloud_id", pid: str = "pt_id",
         qid: str = "q_id", cell: float = 2.0) -> DataFrame:
     """The k nearest points (squared L2; ties -> lower ``pid``) of every
     query in the same ``key`` group.  Output: key, qid, rank, pid, d2.
 
-    A query looks at the 27 cells around it; one whose k-th candidate the searched
+    A cloud is one task's, where a query looks as far around it as certifies its
+    answer (``blocks.nearest``).  In a cloud of more than ``BLOCK`` points a query
+    looks at the 27 cells around it; one whose k-th candidate the searched
     cube doesn't certify looks again at cells twice as wide, until it is certified
     or has all points of its group.  So the cells follow the density around each
     query, every answer is exact, and no query is spread to more than 27 cells.  A
     group with fewer than k points returns all its points (the reference pads with
     index 0 instead); a query of a group without points returns nothing.
     """
+    big = _crowded(points, key)
+    if big is None:
+        return _knn_met(points, queries, k, key, pid, qid)
+    small = _knn_met(points.join(big, key, "left_anti"), queries.join(big, key, "left_anti"), k, key, pid, qid)
+    return small.unionByName(_knn_cells(points.join(big, key, "left_semi"), queries.join(big, key, "left_semi"), k, key, pid, qid, cell))
+
+
+def _knn_met(points: DataFrame, queries: DataFrame, k: int, key: str, pid: str, qid: str, feat: str | None = None) -> DataFrame:
+    return _met(points, queries, key, pid, qid, lambda q, p: nearest(q, p, k), k, feat)
+
+
+def _knn_cells(points: DataFrame, queries: DataFrame, k: int, key: str, pid: str, qid: str, cell: float) -> DataFrame:
     p = points.select(key, pid, *XYZ)
     pending = cut_lineage(queries.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ]))
     sizes = cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_gsize")))
@@ -136,11 +187,16 @@ def ball_query(points: DataFrame, centers: DataFrame, min_radius: float, max_rad
     d2 == 0 or min^2 <= d2 < max^2, padded to ``sample_num`` slots with the
     first hit.  Centres without any hit produce no rows.
     Output: key, qid, slot (0-based), pid."""
-    q = centers.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ])
-    cand = _ring_candidates(q, points.select(key, pid, *XYZ), key, max_radius, 1)
-    hit = cand.where((F.col("d2") == 0) | ((F.col("d2") >= min_radius * min_radius)
-                                            & (F.col("d2") < max_radius * max_radius)))
-    first = top_n_per_group(hit, [key, qid], [F.col(pid)], sample_num, salts=1)
+    big = _crowded(points, key)
+
+    def find(q: np.ndarray, p: np.ndarray):
+        i, j = within(q, p, min_radius, max_radius, sample_num)
+        return i, j, np.zeros(len(i))  # by id alone
+
+    few, of = (points, centers) if big is None else (df.join(big, key, "left_anti") for df in (points, centers))
+    first = _met(few, of, key, pid, qid, find, sample_num).drop("d2")
+    if big is not None:
+        first = first.unionByName(_ball_cells(points.join(big, key, "left_semi"), centers.join(big, key, "left_semi"), min_radius, max_radius, sample_num, key, pid, qid))
     cnt = first.groupBy(key, qid).agg(F.count(F.lit(1)).alias("_cnt"), F.min(pid).alias("_first"))
     pad = cnt.where(F.col("_cnt") < sample_num).select(
         key, qid, F.explode(F.sequence(F.col("_cnt"), F.lit(sample_num - 1))).alias("slot"),
@@ -148,6 +204,14 @@ def ball_query(points: DataFrame, centers: DataFrame, min_radius: float, max_rad
     return first.select(key, qid, (F.col("rank") - 1).alias("slot"), pid).unionByName(pad)
 
 
+def _ball_cells(points: DataFrame, centers: DataFrame, min_radius: float, max_radius: float, sample_num: int, key: str, pid: str, qid: str) -> DataFrame:
+    q = centers.select(key, qid, *[F.col(a).alias(f"q{a}") for a in XYZ])
+    cand = _ring_candidates(q, points.select(key, pid, *XYZ), key, max_radius, 1)
+    hit = cand.where((F.col("d2") == 0) | ((F.col("d2") >= min_radius * min_radius)
+                                            & (F.col("d2") < max_radius * max_radius)))
+    return top_n_per_group(hit, [key, qid], [F.col(pid)], sample_num, salts=1).select(key, qid, "rank", pid)
+
+
 def query_and_group(points: DataFrame, centers: DataFrame, sample_num: int, max_radius: float | None = None, min_radius: float = 0.0, feats=(),
                     normalize: bool = False, uniform: bool = False, seed: int = 42, key: str = "cloud_id", pid: str = "pt_id", qid: str = "q_id",
                     cell: float = 2.0) -> DataFrame:
@@ -186,8 +250,13 @@ def three_interpolate(points: DataFrame, queries: DataFrame, feat: str, key: str
                       pid: str = "pt_id", qid: str = "q_id", cell: float = 2.0) -> DataFrame:
     """Three nearest neighbours (sqrt distances) and the inverse-distance
     weighted feature sum (weights 1/(d+1e-8) normalized, as callers supply)."""
-    nn = knn(points, queries, 3, key, pid, qid, cell)
-    nn = nn.join(points.select(key, pid, feat), [key, pid]).withColumn("dist", F.sqrt("d2"))
+    big = _crowded(points, key)
+    few, of = (points, queries) if big is None else (df.join(big, key, "left_anti") for df in (points, queries))
+    nn = _knn_met(few, of, 3, key, pid, qid, feat)
+    if big is not None:
+        many = points.join(big, key, "left_semi")
+        nn = nn.unionByName(_knn_cells(many, queries.join(big, key, "left_semi"), 3, key, pid, qid, cell).join(many.select(key, pid, feat), [key, pid]).select(nn.columns))
+    nn = nn.withColumn("dist", F.sqrt("d2"))
     w = 1.0 / (F.col("dist") + 1e-8)
     return nn.groupBy(key, qid).agg((F.sum(w * F.col(feat)) / F.sum(w)).alias(f"interp_{feat}"),
                                     F.count(F.lit(1)).alias("n_nn"))
