@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from kestrel.operators.blocks import BLOCK, codes, first_of, meet, nearest, numbers, within
+from kestrel.operators.blocks import BLOCK, codes, crowded, first_of, meet, nearest, numbers, within
 from kestrel.operators.features import spread
 from kestrel.operators.selection import top_n_per_group
 from kestrel.plans.ordered import running
@@ -104,11 +104,16 @@ def _crowded(points: DataFrame, key: str) -> DataFrame | None:
     return None if big.isEmpty() else big
 
 
-def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, find, n: int, feat: str | None = None) -> DataFrame:
-    """key, qid, rank, pid, d2 (and ``feat`` of every point of that id) of the n first points that ``find`` gives for each query, by group."""
+def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, find, n: int, feat: str | None = None, mean: bool = False) -> DataFrame:
+    """key, qid, rank, pid, d2 (and ``feat`` of every point of that id) of the n first points that ``find`` gives for each query, by group.
+
+    With ``mean`` one row for each query that has any instead: key, qid, w (sum of
+    1 / (distance + 1e-8)), wf (the same times ``feat``, null where no point has it) and n_nn.
+    """
     p = points.dropna(subset=[*XYZ]).select(key, F.col(pid).alias("_p"), *[F.col(a).cast("double").alias(a) for a in XYZ], *([F.col(feat).alias("_feat")] if feat else []))
     q = queries.dropna(subset=[*XYZ]).select(key, F.col(qid).alias("_q"), *[F.col(a).cast("double").alias(a) for a in XYZ])
-    fields = [q.schema[key], q.schema["_q"], StructField("rank", IntegerType()), p.schema["_p"], StructField("d2", DoubleType()), *([p.schema["_feat"]] if feat else [])]
+    sums = [q.schema[key], q.schema["_q"], StructField("w", DoubleType()), StructField("wf", DoubleType()), StructField("n_nn", LongType())]
+    fields = sums if mean else [q.schema[key], q.schema["_q"], StructField("rank", IntegerType()), p.schema["_p"], StructField("d2", DoubleType()), *([p.schema["_feat"]] if feat else [])]
 
     def fn(x: pa.Table, y: pa.Table) -> pa.Table:
         y = y.take(pc.sort_indices(y, [("_p", "ascending")], null_placement="at_start"))
@@ -122,11 +127,23 @@ def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, fi
             times = np.where(y["_p"].is_valid().to_numpy(), end - start, 0)[j]
             i, rank, d2, first = (np.repeat(v, times) for v in (i, rank, d2, start[j]))
             j = first + np.arange(len(first)) - np.repeat(np.cumsum(times) - times, times)
+        if mean:
+            of, at, back = np.unique(same[i], return_index=True, return_inverse=True)
+            w = 1.0 / (np.sqrt(d2) + 1e-8)
+            f = y["_feat"].take(pa.array(j, pa.int64()))
+            known = f.is_valid().to_numpy() if len(j) else np.empty(0, bool)
+            wf = np.bincount(back[known], (w * f.to_numpy().astype(float))[known], len(of)) if len(j) else np.empty(0)
+            some = np.bincount(back[known], minlength=len(of)) > 0
+            one = x.take(pa.array(i[at], pa.int64()))
+            return pa.table({key: one[key], "_q": one["_q"], "w": pa.array(np.bincount(back, w, len(of)), pa.float64()), "wf": pa.array(wf, pa.float64(), mask=~some),
+                             "n_nn": pa.array(np.bincount(back, minlength=len(of)), pa.int64())})
         left, right = x.take(pa.array(i, pa.int64())), y.take(pa.array(j, pa.int64()))
         more = {"_feat": right["_feat"]} if feat else {}
         return pa.table({key: left[key], "_q": left["_q"], "rank": pa.array(rank, pa.int32()), "_p": right["_p"], "d2": pa.array(d2, pa.float64()), **more})
 
     out = meet(q, p, [key], fn, StructType(fields), by_left=["_q"])
+    if mean:
+        return out.withColumnRenamed("_q", qid)
     return out.select(key, F.col("_q").alias(qid), "rank", F.col("_p").alias(pid), "d2", *([F.col("_feat").alias(feat)] if feat else []))
 
 
@@ -252,24 +269,48 @@ def three_interpolate(points: DataFrame, queries: DataFrame, feat: str, key: str
     weighted feature sum (weights 1/(d+1e-8) normalized, as callers supply)."""
     big = _crowded(points, key)
     few, of = (points, queries) if big is None else (df.join(big, key, "left_anti") for df in (points, queries))
-    nn = _knn_met(few, of, 3, key, pid, qid, feat)
+    # summed up where they are found; a group of no more than BLOCK points is one block, so a query's points are together
+    sums = _met(few, of, key, pid, qid, lambda q, p: nearest(q, p, 3), 3, feat, mean=True)
     if big is not None:
         many = points.join(big, key, "left_semi")
-        nn = nn.unionByName(_knn_cells(many, queries.join(big, key, "left_semi"), 3, key, pid, qid, cell).join(many.select(key, pid, feat), [key, pid]).select(nn.columns))
-    nn = nn.withColumn("dist", F.sqrt("d2"))
-    w = 1.0 / (F.col("dist") + 1e-8)
-    return nn.groupBy(key, qid).agg((F.sum(w * F.col(feat)) / F.sum(w)).alias(f"interp_{feat}"),
-                                    F.count(F.lit(1)).alias("n_nn"))
+        nn = _knn_cells(many, queries.join(big, key, "left_semi"), 3, key, pid, qid, cell).join(many.select(key, pid, feat), [key, pid])
+        w = 1.0 / (F.sqrt("d2") + 1e-8)
+        sums = sums.unionByName(nn.groupBy(key, qid).agg(F.sum(w).alias("w"), F.sum(w * F.col(feat)).alias("wf"), F.count(F.lit(1)).alias("n_nn")))
+    return sums.select(key, qid, (F.col("wf") / F.col("w")).alias(f"interp_{feat}"), "n_nn")
 
 
 def chamfer(a: DataFrame, b: DataFrame, key: str = "cloud_id", pid: str = "pt_id", cell: float = 2.0) -> DataFrame:
     """For every point of a its nearest point of b and vice versa.
     Output: side ('a->b' / 'b->a'), key, pt, nn_pt, d2."""
+    big = None
+    many = cut_lineage(crowded(a, [key], BLOCK).select(key).union(crowded(b, [key], BLOCK).select(key)).distinct())
+    if not many.isEmpty():
+        big = many
+    few = [(df if big is None else df.join(big, key, "left_anti")).dropna(subset=[*XYZ, key]).select(key, F.col(pid).alias("_q"), *[F.col(c).cast("double").alias(c) for c in XYZ]) for df in (a, b)]
+    fields = [StructField("side", StringType()), few[0].schema[key], StructField("pt", few[0].schema["_q"].dataType), StructField("nn_pt", few[1].schema["_q"].dataType), StructField("d2", DoubleType())]
+
+    def both(x: pa.Table, y: pa.Table) -> pa.Table:
+        """Either way in one meeting of the two clouds, which are shuffled once."""
+        x, y = (t.take(pc.sort_indices(t, [("_q", "ascending")], null_placement="at_start")) for t in (x, y))
+        out = []
+        for side, s, t in (("a->b", x, y), ("b->a", y, x)):
+            i, j, d2 = nearest(numbers(s, XYZ), numbers(t, XYZ), 1)
+            same = codes(s["_q"]) if s.num_rows else np.empty(0, np.int64)
+            at, _ = first_of(same[i], 1, d2, j)
+            i, j = pa.array(i[at], pa.int64()), pa.array(j[at], pa.int64())
+            out.append(pa.table({"side": pa.array([side] * len(at), pa.string()), key: s[key].take(i), "pt": s["_q"].take(i), "nn_pt": t["_q"].take(j), "d2": pa.array(d2[at], pa.float64())}))
+        return pa.concat_tables(out)
+
+    near = few[0].groupBy(key).cogroup(few[1].groupBy(key)).applyInArrow(lambda x, y: both(x, y), StructType(fields))
+    if big is None:
+        return near
+    a, b = (df.join(big, key, "left_semi") for df in (a, b))
     ab = knn(b, a.withColumnRenamed(pid, "q_id"), 1, key, pid, "q_id", cell)
     ba = knn(a, b.withColumnRenamed(pid, "q_id"), 1, key, pid, "q_id", cell)
-    return (ab.select(F.lit("a->b").alias("side"), key, F.col("q_id").alias("pt"), F.col(pid).alias("nn_pt"), "d2")
+    far = (ab.select(F.lit("a->b").alias("side"), key, F.col("q_id").alias("pt"), F.col(pid).alias("nn_pt"), "d2")
               .unionByName(ba.select(F.lit("b->a").alias("side"), key, F.col("q_id").alias("pt"),
                                      F.col(pid).alias("nn_pt"), "d2")))
+    return near.unionByName(far)
 
 
 def furthest_point_sample(points: DataFrame, npoint: int, key: str = "cloud_id", pid: str = "pt_id",
