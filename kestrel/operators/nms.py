@@ -2,23 +2,32 @@
 soft NMS (D1-D3, D7).
 
 Groups (an image, or image x class) are ordered by ``score DESC, <id>``.
-Bounded groups (at most ``max_group_rows``) are folded with built-in
-higher-order functions after one shuffle: ``array_sort(collect_list)`` then
+Bounded groups (at most ``max_group_rows``) are streamed in that order past
+the boxes that they kept (``blocks.keep_first``), so a task holds the kept
+boxes and a slab of pairs.  Groups with a null score or id are folded with
+built-in higher-order functions: ``array_sort(collect_list)`` then
 ``aggregate`` keeps a box unless a kept box overlaps it.  Larger groups
 never go to one task: their conflict edges come from the grid overlap join
 and the greedy result is computed in distributed rounds
-(``greedy_independent_set``).  Both paths return the same rows.
+(``greedy_independent_set``).  All paths return the same rows.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.blocks import keep_first
 from kestrel.operators.boxjoin import overlap_pairs
 from kestrel.operators.matching import greedy_independent_set
+from kestrel.session import cut_lineage
 
 BOX = ("x1", "y1", "x2", "y2")
+#: Most rows of a group that one task streams past those it kept.
+MAX_GROUP_ROWS = 200_000
+#: Most rows of a group that is folded, of those that aren't streamed.
+FOLDED = 20_000
 
 
 def _iou_struct(a: Column, b: Column, offset: float) -> Column:
@@ -60,8 +69,43 @@ def _edges_big(df: DataFrame, group: list[str], id_col: str, thr: float, offset:
     return p.select(F.when(l_first, left).otherwise(right).alias("u"), F.when(l_first, right).otherwise(left).alias("v"))
 
 
+def _parts(rows: DataFrame, group: list[str], id_col: str, thr: float, max_group_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of groups that are streamed, rows of the others): larger groups and those with a null score or id, which have no place in the order."""
+    if thr < 0 or rows.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return None, rows
+    n = F.count(F.lit(1))
+    odd = rows.dropna(subset=group).groupBy(*group).agg(n.alias("_n"), F.count("score").alias("_s"), F.count(id_col).alias("_i"))
+    odd = cut_lineage(odd.where((F.col("_n") > max_group_rows) | (F.col("_s") < F.col("_n")) | (F.col("_i") < F.col("_n"))).select(*group))
+    if odd.isEmpty():
+        return rows, None
+    return rows.join(odd, group, "left_anti"), rows.join(odd, group, "left_semi")
+
+
+def _streamed(rows: DataFrame, group: list[str], id_col: str, thr: float, offset: float, owners: bool = False) -> DataFrame:
+    """``keep_first`` by IoU: a group goes in order past the boxes that it kept."""
+    def over(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        w = np.minimum(a[:, 2], b[:, 2]) - np.maximum(a[:, 0], b[:, 0]) + offset
+        h = np.minimum(a[:, 3], b[:, 3]) - np.maximum(a[:, 1], b[:, 1]) + offset
+        inter = np.maximum(w, 0.0) * np.maximum(h, 0.0)
+        areas = [(c[:, 2] - c[:, 0] + offset) * (c[:, 3] - c[:, 1] + offset) for c in (a, b)]
+        union = areas[0] + areas[1] - inter
+        return np.divide(inter, union, out=np.zeros_like(inter), where=union > 0) > thr
+
+    hull = [F.col("x1"), F.col("y1"), F.col("x2") + offset, F.col("y2") + offset]
+    return keep_first(rows, group, id_col, "score", hull, [F.col(c) for c in BOX], over, alike=True, owners=owners)
+
+
+def _kept_apart(rows: DataFrame, group: list[str], id_col: str, thr: float, offset: float, max_group_rows: int, cell: float) -> DataFrame:
+    """Ids kept in the groups that aren't streamed: small ones by a fold, large ones by rounds over their conflicts."""
+    small, big = _split_by_size(rows, group, min(max_group_rows, FOLDED))
+    edges = _edges_big(big, group, id_col, thr, offset, cell)
+    nodes = big.select(F.struct(*group, id_col).alias("_node"))  # ids need only be unique within their group
+    mis = greedy_independent_set(nodes, edges, node="_node")
+    return _fold_small(small, group, id_col, thr, offset).unionByName(mis.where("kept").select("_node.*"))
+
+
 def nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float, score_thr: float | None = None,
-        offset: float = 0.0, max_num: int | None = None, max_group_rows: int = 20_000,
+        offset: float = 0.0, max_num: int | None = None, max_group_rows: int = MAX_GROUP_ROWS,
         cell: float = 64.0) -> DataFrame:
     """Rows of ``df`` kept by greedy NMS within each group.
 
@@ -71,12 +115,12 @@ def nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float, score_thr:
     NMS, [image, class] the class-aware form.
     """
     src = df if score_thr is None else df.where(F.col("score") > score_thr)
-    small, big = _split_by_size(src.select(*group, id_col, "score", *BOX), group, max_group_rows)
-    kept_ids = _fold_small(small, group, id_col, iou_thr, offset)
-    edges = _edges_big(big, group, id_col, iou_thr, offset, cell)
-    nodes = big.select(F.struct(*group, id_col).alias("_node"))  # ids need only be unique within their group
-    mis = greedy_independent_set(nodes, edges, node="_node")
-    kept_ids = kept_ids.unionByName(mis.where("kept").select("_node.*"))
+    rows = src.select(*group, id_col, "score", *BOX)
+    plain, other = _parts(rows, group, id_col, iou_thr, max_group_rows)
+    kept_ids = None if plain is None else _streamed(plain, group, id_col, iou_thr, offset)
+    if other is not None:
+        rest = _kept_apart(other, group, id_col, iou_thr, offset, max_group_rows, cell)
+        kept_ids = rest if kept_ids is None else kept_ids.unionByName(rest)
     out = src.join(kept_ids, [*group, id_col], "left_semi")
     if max_num is not None:
         from kestrel.operators.selection import top_n_per_group
@@ -85,10 +129,28 @@ def nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float, score_thr:
 
 
 def nms_match_groups(df: DataFrame, group: list[str], id_col: str, iou_thr: float,
-                     max_group_rows: int = 20_000, cell: float = 64.0) -> DataFrame:
+                     max_group_rows: int = MAX_GROUP_ROWS, cell: float = 64.0) -> DataFrame:
     """Every row with ``match_group`` = the id of the kept row it belongs to
     (itself when kept; else the first kept row, in score order, that
     overlaps it above the threshold)."""
+    plain, other = _parts(df.select(*group, id_col, "score", *BOX), group, id_col, iou_thr, max_group_rows)
+    if plain is None:
+        return _match_groups_apart(df, group, id_col, iou_thr, max_group_rows, cell)
+    # the stream that removes a row knows the first kept one over it; rows of one id share the first of theirs
+    owner = _streamed(plain, group, id_col, iou_thr, 0.0, owners=True).groupBy(*group, id_col).agg(
+        F.min_by("_owner", "_place").cast(df.schema[id_col].dataType).alias("match_group"), F.count(F.lit(1)).alias("_copies"))
+    times = F.when(F.col("match_group") == F.col(id_col), F.col("_copies").cast("int")).otherwise(1)  # a kept id meets each of its rows
+    if other is None:
+        mine = df
+    else:
+        odd = other.select(*group).distinct()
+        mine, df = df.join(odd, group, "left_anti"), df.join(odd, group, "left_semi")
+    out = mine.join(owner, [*group, id_col], "left").withColumn("_copies", F.explode(F.sequence(F.lit(1), F.coalesce(times, F.lit(1))))).drop("_copies")
+    return out if other is None else out.unionByName(_match_groups_apart(df, group, id_col, iou_thr, max_group_rows, cell))
+
+
+def _match_groups_apart(df: DataFrame, group: list[str], id_col: str, iou_thr: float, max_group_rows: int, cell: float) -> DataFrame:
+    """``nms_match_groups`` of groups that aren't streamed: by the pairs of kept and other boxes."""
     kept = nms(df, group, id_col, iou_thr, max_group_rows=max_group_rows, cell=cell).select(
         *group, id_col, "score", *BOX)
     p = overlap_pairs(kept, df, group, id_col, id_col, cell=cell, left_cols=("score",), right_cols=("score",),
@@ -107,8 +169,6 @@ def nms_match_groups(df: DataFrame, group: list[str], id_col: str, iou_thr: floa
 
 def _decays(iou_thr: float, sigma: float) -> dict:
     """D3: by name, the factor that a remaining score takes for its overlap with the box picked."""
-    import numpy as np
-
     return {"naive": lambda iou: (iou < iou_thr).astype(float), "linear": lambda iou: np.where(iou < iou_thr, 1.0, 1.0 - iou),
             "gaussian": lambda iou: np.exp(-iou * iou / sigma)}
 
@@ -122,7 +182,6 @@ def soft_nms(df: DataFrame, group: list[str], id_col: str, iou_thr: float = 0.3,
     numpy fold of ``applyInPandas``.  Output: picked rows with the lowered
     ``score`` and ``pick`` (order from 1).
     """
-    import numpy as np
     import pandas as pd
 
     decay = _decays(iou_thr, sigma)[method]
