@@ -7,13 +7,21 @@ operators add no shuffle.  Exhaustive families are generated in long form
 over point indices and plain arithmetic on ``element_at`` reads; every
 step stays inside whole-stage codegen (lambda functions would run
 interpreted, ~7x slower here).  A sample yields its rows lazily inside the
-Generate chain, so no per-sample array of C(n,4) values is ever built.
+Generate chain, so no per-sample array of C(n,4) values is ever built.  Where only the moments of a class are
+wanted, the C(n,4) ratios are summed up in numpy, a few samples at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -101,8 +109,15 @@ def all_angles_long(df: DataFrame, keep=("sample_id", "class_id")) -> DataFrame:
     return s.select(*keep, "i", "j", "k", _angle(i, j, k).alias("value"))
 
 
-def all_ratios_long(df: DataFrame, keep=("sample_id", "class_id")) -> DataFrame:
-    """Every i<j<k<m quadruplet as rows ``keep..., i, j, k, m, value`` (exhaustive P26)."""
+def all_ratios_long(df: DataFrame, keep=("sample_id", "class_id"), moments: str | None = None) -> DataFrame:
+    """Every i<j<k<m quadruplet as rows ``keep..., i, j, k, m, value`` (exhaustive P26).
+
+    With ``moments`` (the class) a task sums the values up as it makes them: rows
+    ``i, j, k, m, <class>, n, mean, m2`` of some of a class's samples, m2 the squared
+    deviations from that mean.  ``selection.anova_f`` takes either.
+    """
+    if moments is not None:
+        return _ratio_moments(df, moments)
     s = spread(df.select(*keep, "xs", "ys"))
     s = _explode_after(s, None, "i", 3)
     s = _explode_after(s, "i", "j", 2)
@@ -119,3 +134,76 @@ def all_pairs_long(df: DataFrame, keep=("sample_id", "class_id")) -> DataFrame:
     s = _explode_after(s, None, "i", 1)
     s = _explode_after(s, "i", "j", 0)
     return s.select(*keep, "i", "j", _d(F.col("i"), F.col("j")).alias("value"))
+
+
+#: Classes whose moments a task holds before it hands them on.
+HELD = 64
+
+
+def _ratio_moments(df: DataFrame, class_col: str) -> DataFrame:
+    table = spread(df.where("xs IS NOT NULL").select(class_col, "xs", "ys"))
+    schema = StructType([*[StructField(c, IntegerType()) for c in "ijkm"], table.schema[class_col], StructField("n", LongType()), StructField("mean", DoubleType()), StructField("m2", DoubleType())])
+
+    def points(column: pa.Array, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Coordinates (row, point) and which are known, of rows of n points (a missing list: none known)."""
+        lists = column.take(pa.array(rows))
+        full = np.flatnonzero(pc.fill_null(pc.equal(pc.list_value_length(lists), n), False).to_numpy(zero_copy_only=False))
+        flat = lists.take(pa.array(full)).flatten()
+        values, known = np.full((len(rows), n), np.nan), np.zeros((len(rows), n), bool)
+        values[full] = flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, n)
+        known[full] = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, n)
+        return values, known
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        quads: dict = {}
+
+        def out(key) -> pa.RecordBatch:
+            cls, size = key
+            count, mean, m2 = held.pop(key)
+            none = count == 0
+            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in quads[size]], pa.array([cls] * len(count), kind), pa.array(count), pa.array(mean, mask=none), pa.array(m2)], schema.names)
+
+        for batch in batches:
+            kind = batch.column(class_col).type
+            classes, sizes = batch.column(class_col).to_pylist(), pc.list_value_length(batch.column("xs")).to_pylist()
+            groups: dict = {}
+            for row, key in enumerate(zip(classes, sizes, strict=True)):
+                groups.setdefault(key, []).append(row)
+            for key, rows in groups.items():
+                n = key[1]
+                if n < 4:
+                    continue
+                if n not in quads:
+                    quads[n] = np.array(list(combinations(range(n), 4)), np.int32).T.copy()
+                i, j, k, m = quads[n]
+                if key not in held:
+                    if len(held) >= HELD:
+                        yield out(next(iter(held)))
+                    held[key] = (np.zeros(len(i), np.int64), np.zeros(len(i)), np.zeros(len(i)))
+                for at in range(0, len(rows), 32):
+                    some = np.array(rows[at:at + 32])
+                    (x, kx), (y, ky) = (points(batch.column(c), some, n) for c in ("xs", "ys"))
+                    known = kx & ky
+                    with np.errstate(all="ignore"):
+                        d = np.sqrt((x[:, :, None] - x[:, None]) ** 2 + (y[:, :, None] - y[:, None]) ** 2).reshape(len(some), n * n)
+                        value = d[:, i * n + j] / (d[:, k * n + m] + 1e-8)
+                        if known.all():
+                            count = np.full(len(i), len(some))
+                            mean = value.mean(axis=0)
+                            m2 = ((value - mean) ** 2).sum(axis=0)
+                        else:
+                            both = (known[:, :, None] & known[:, None]).reshape(len(some), n * n)
+                            use = both[:, i * n + j] & both[:, k * n + m]
+                            count = use.sum(axis=0)
+                            mean = value.sum(axis=0, where=use) / np.maximum(count, 1)
+                            m2 = ((value - mean) ** 2).sum(axis=0, where=use)
+                        was, old, old2 = held[key]
+                        total = np.maximum(was + count, 1)
+                        delta = mean - old
+                        held[key] = (was + count, np.where(count > 0, np.where(was > 0, old + delta * count / total, mean), old),
+                                     np.where(count > 0, np.where(was > 0, old2 + m2 + delta * delta * was * count / total, m2), old2))
+        for key in list(held):
+            yield out(key)
+
+    return table.mapInArrow(run, schema)

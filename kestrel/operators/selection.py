@@ -17,14 +17,25 @@ BIG_F = 1.7976931348623157e308
 
 
 def anova_f(long: DataFrame, feature_cols: list[str], class_col: str = "class_id",
-            value_col: str = "value") -> DataFrame:
+            value_col: str = "value", moments: bool = False) -> DataFrame:
     """F = (SSB/(k-1)) / (SSW/(N-k)) per feature; 0/0 -> 0, x/0 -> BIG_F.
 
+    With ``moments`` the rows are n, mean and m2 (squared deviations from it) of
+    parts of a class, not values.
+
     k counts the classes present for the feature.  Per-class moments use
     ``var_pop`` (numerically stable), and SSB is taken around the grand mean.
     """
-    g = long.groupBy(*feature_cols, class_col).agg(
-        F.count(value_col).alias("_n"), F.avg(value_col).alias("_m"), F.var_pop(value_col).alias("_v"))
+    if moments:
+        # the parts of a class by their means' distance from its mean: sums of squares would cancel
+        wc = Window.partitionBy(*feature_cols, class_col)
+        n, total = F.sum("n"), F.sum("n").over(wc)
+        parts = long.withColumn("_m", F.when(total > 0, F.sum(F.col("n") * F.col("mean")).over(wc) / F.greatest(total, F.lit(1))))
+        far = F.col("m2") + F.col("n") * (F.col("mean") - F.col("_m")) * (F.col("mean") - F.col("_m"))
+        g = parts.groupBy(*feature_cols, class_col).agg(n.alias("_n"), F.first("_m").alias("_m"), F.when(n > 0, F.sum(far) / F.greatest(n, F.lit(1))).alias("_v"))
+    else:
+        g = long.groupBy(*feature_cols, class_col).agg(
+            F.count(value_col).alias("_n"), F.avg(value_col).alias("_m"), F.var_pop(value_col).alias("_v"))
     w = Window.partitionBy(*feature_cols)
     g = g.withColumn("_grand", F.sum(F.col("_n") * F.col("_m")).over(w) / F.sum("_n").over(w))
     s = g.groupBy(*feature_cols).agg(

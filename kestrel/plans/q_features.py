@@ -64,7 +64,7 @@ register("anova_angle_top20", with_views("landmarks") + f", vals AS ({_ANGLE_SQL
           + _anova_sql("i, j, k, m") + _top_sql(["i", "j", "k", "m"], 20))
 def anova_ratios_top(spark, sf_dir, n=20):
     lm = T.landmarks(spark, sf_dir)
-    f = sel.anova_f(feat.all_ratios_long(lm), ["i", "j", "k", "m"])
+    f = sel.anova_f(feat.all_ratios_long(lm, moments="class_id"), ["i", "j", "k", "m"], moments=True)
     return _top(f, ["i", "j", "k", "m"], n)
 
 
