@@ -32,8 +32,8 @@ def scene(spark, n=60, seed=1):
     rng = random.Random(seed)
     dets = [(k % 3, "a", k // 2, *box(rng), rng.randrange(10) / 10) for k in range(n)]
     gts = [(k % 3, "a", k // 2, *box(rng), rng.random() < 0.3) for k in range(n // 2)]
-    dets += [*dets[:6], (None, "a", 7, *dets[0][3:]), (0, "a", None, *dets[0][3:]), (1, "a", 900, None, *dets[0][4:]), (1, "a", 901, *dets[0][3:7], None)]
-    gts += [*gts[:3], (None, "a", 7, *gts[0][3:]), (0, "a", None, *gts[0][3:]), (1, "a", 900, *gts[0][3:7], None)]
+    dets += [(0, "a", 800, *box(rng)[:2], None, 40.0, 0.9), (1, "a", 801, *box(rng)[:3], None, 0.5), *dets[:6], (None, "a", 7, *dets[0][3:]), (0, "a", None, *dets[0][3:]), (1, "a", 900, None, *dets[0][4:]), (1, "a", 901, *dets[0][3:7], None)]
+    gts += [(0, "a", 800, *box(rng)[:2], None, 40.0, False), (1, "a", 801, *box(rng)[:3], None, True), *gts[:3], (None, "a", 7, *gts[0][3:]), (0, "a", None, *gts[0][3:]), (1, "a", 900, *gts[0][3:7], None)]
     return spark.createDataFrame(dets, DET), spark.createDataFrame(gts, GT)
 
 
@@ -95,7 +95,7 @@ def test_totals_are_those_of_the_pairs(spark):
     modes = ("iou", "iof", "giou")
     want = p.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_pairs"), *[f(m).alias(f"{n}_{m}") for m in modes for n, f in (("sum", F.sum), ("max", F.max))])
     assert rows(overlap_pairs(d, g, KEYS, "det_id", "gt_id", totals=modes)) == rows(want)
-    over = p.where("iou >= 0.4").select(*KEYS, "l_det_id", "r_gt_id", "iou")
+    over = p.where("iou >= 0.4").dropna(subset=[f"{s}_{c}" for s in "lr" for c in N.BOX]).select(*KEYS, "l_det_id", "r_gt_id", "iou")
     assert rows(B.likely_pairs(d, g, KEYS, "det_id", "gt_id", 0.4)) == rows(over)
 
 
