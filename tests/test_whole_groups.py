@@ -38,7 +38,7 @@ def scene(spark, n=60, seed=1):
 
 
 def rows(df):
-    return Counter(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    return Counter(tuple(float(f"{v:.9g}") if isinstance(v, float) else v for v in r) for r in df.collect())
 
 
 def plan(df):
