@@ -141,7 +141,11 @@ def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, fi
         more = {"_feat": right["_feat"]} if feat else {}
         return pa.table({key: left[key], "_q": left["_q"], "rank": pa.array(rank, pa.int32()), "_p": right["_p"], "d2": pa.array(d2, pa.float64()), **more})
 
-    out = meet(q, p, [key], fn, StructType(fields), by_left=["_q"])
+    if _crowded(queries, key) is None:  # both sides whole, so a table that meets itself is shuffled once
+        q, p = (df.dropna(subset=[key]) for df in (q, p))
+        out = q.groupBy(key).cogroup(p.groupBy(key)).applyInArrow(lambda x, y: fn(x, y), StructType(fields))
+    else:
+        out = meet(q, p, [key], fn, StructType(fields), by_left=["_q"])
     if mean:
         return out.withColumnRenamed("_q", qid)
     return out.select(key, F.col("_q").alias(qid), "rank", F.col("_p").alias(pid), "d2", *([F.col("_feat").alias(feat)] if feat else []))
