@@ -136,6 +136,27 @@ def test_chains_are_best_by_brute_force():
         assert all((np.diff(x[c]) > 0).all() and (np.diff(y[c]) > 0).all() for c in got)
 
 
+def test_seeds_of_one_document_stay_where_they_are(spark):
+    """op10: only seeds seen twice become rows, whichever slices the documents are in; those of two documents are all there."""
+    rng = random.Random(18)
+    passage = words(rng, 60)
+    rows = [(i, " ".join(words(rng, 150) + (passage if i in (3, 57) else []) + words(rng, 150))) for i in range(80)]
+    rows += [(90, "z " * 300), (91, "z " * 200), (92, ""), (3, rows[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", F.col("text").cast("binary").alias("text"))
+    found = chained_passages.seeds(df.dropDuplicates(["uid"]).join(chained_passages.seen_twice(df, 5, 3), "uid"), 5, 3).collect()
+    holders, every = {}, 0
+    for uid, text in {(r.uid, bytes(r.text)) for r in df.collect()}:
+        t, h, p, b = chained_passages.minimisers([text], 5, 3)
+        _, seed, at = chained_passages.numbered(t, h, p << 32 | b)
+        every += len(seed)
+        for x, a in zip(seed.view("int64").tolist(), at.tolist(), strict=True):
+            holders.setdefault(x, []).append((x, uid, a))
+    shared = [r for v in holders.values() if len({u for _, u, a in v if a >= 0}) > 1 for r in v]
+    got = [tuple(r) for r in found]
+    assert set(got) >= set(shared) and len(got) == len(set(got)) and len(shared) > 500
+    assert len([r for r in got if r not in set(shared)]) < every / 5  # only what the repeated row has
+
+
 def test_planted_passages(spark):
     rng = random.Random(8)
     passage, other = words(rng, 55), words(rng, 80)
