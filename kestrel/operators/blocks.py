@@ -25,6 +25,8 @@ BOX = ("x1", "y1", "x2", "y2")
 BLOCK = 50_000
 #: Most pairs looked at together.
 SLAB = 1 << 15
+#: Most rows of a group that is thinned together with the others of its Arrow batch.
+TOGETHER = 1024
 
 #: Makes of a group's left and right rows a table of the result's columns.
 Meet = Callable[[pa.Table, pa.Table], pa.Table]
@@ -401,7 +403,8 @@ def keep_first(rows: DataFrame, keys: list[str], id_col: str, score: str, hull:
     """keys and id of the rows that no kept row of a better score (ties: smaller id) conflicts with.
 
     ``conflict`` takes two arrays (pairs, fields) of rows whose hulls meet.  Groups
-    are streamed in order past the rows that they kept, a slab of pairs at a time.
+    are streamed in order past the rows that they kept, a slab of pairs at a time;
+    small ones that an Arrow batch holds whole are thinned all at once.
     Rows of one id don't remove one another, unless ``alike``.  With ``owners`` all
     rows come, with the id ``_owner`` of the first kept row that conflicts with them
     (their own, if kept) and its ``_place`` among the kept.
@@ -460,6 +463,28 @@ def keep_first(rows: DataFrame, keys: list[str], id_col: str, score: str, hull:
         kept.add(hulls[:, left[ok]], values[left[ok]], ids[left[ok]])
         return left[ok], owner
 
+    def together(of: np.ndarray, hulls, values, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the rows kept of whole groups, numbered by ``of``; for each row the place of the kept one that it belongs to and that one's place among its group's."""
+        left, by, nth = np.arange(len(ids)), np.arange(len(ids)), np.zeros(len(ids), np.int64)
+        found = [left[:0]]
+        while len(left):  # a round keeps the first row left of every group
+            new = np.append(True, of[left[1:]] != of[left[:-1]])
+            top = left[new]
+            nth[top] = len(found) - 1
+            found.append(top)
+            first = top[np.cumsum(new) - 1]
+            a, b = hulls[:, left], hulls[:, first]
+            met = ~new & (a[0] < b[2]) & (b[0] < a[2]) & (a[1] < b[3]) & (b[1] < a[3])
+            if not alike:
+                met &= ids[left] != ids[first]
+            at = np.flatnonzero(met)
+            gone = at[conflict(values[first[at]], values[left[at]])]
+            by[left[gone]] = first[gone]
+            free = ~new
+            free[gone] = False
+            left = left[free]
+        return np.sort(np.concatenate(found)), by, nth[by]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, kept = None, None
         for batch in batches:
@@ -473,22 +498,29 @@ def keep_first(rows: DataFrame, keys: list[str], id_col: str, score: str, hull:
                 c = codes(t[k])
                 mixed[1:] |= c[1:] != c[:-1]
             starts = [0, *np.flatnonzero(mixed).tolist(), batch.num_rows]
-            chosen, owner, place = [], [], []
-            for a, b in zip(starts[:-1], starts[1:], strict=True):
-                at = tuple(t[k][a].as_py() for k in keys)
-                if at != group:
-                    group, kept = at, Kept()
+            sizes = np.diff(starts)
+            begun = np.arange(len(sizes)) > 0
+            begun[0] = tuple(t[k][0].as_py() for k in keys) != group
+            small = begun & (sizes <= TOGETHER)
+            small[-1] = False  # goes on in the next batch, perhaps
+            some = np.flatnonzero(np.repeat(small, sizes))
+            at_kept, by, nth = together(np.repeat(np.arange(len(sizes)), sizes)[some], hulls[:, some], values[some], ids[some])
+            chosen, owner, place = [some[at_kept]], np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
+            owner[some], place[some] = ids[some][by], nth
+            for k in np.flatnonzero(~small).tolist():
+                a, b = starts[k], starts[k + 1]
+                if begun[k]:
+                    group, kept = tuple(t[n][a].as_py() for n in keys), Kept()
                 c = a
                 while c < b:  # first few rows: what they keep thins the rest before it is compared with itself
                     to = slice(c, min(c + min(256, max(16, c - a)), b))
                     some, at_kept = chunk(kept, hulls[:, to], values[to], ids[to])
                     chosen.append(c + some)
-                    owner.append(kept.ids[at_kept])
-                    place.append(at_kept)
+                    owner[to], place[to] = kept.ids[at_kept], at_kept
                     c = to.stop
             if owners:
-                yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(np.concatenate(owner)), pa.array(np.concatenate(place))], schema.names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(owner), pa.array(place)], schema.names)
             else:
-                yield batch.select(names).take(pa.array(np.concatenate(chosen)))
+                yield batch.select(names).take(pa.array(np.sort(np.concatenate(chosen))))
 
     return dealt.mapInArrow(run, schema)
