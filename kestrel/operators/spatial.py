@@ -100,10 +100,14 @@ def _margin2(cell: float, ring: int):
 
 def _crowded(points: DataFrame, key: str) -> DataFrame | None:
     """Keys of the groups of more points than a task takes whole, if there are any."""
-    big = cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > BLOCK).select(key))
+    big = _crowded_keys(points, key)
     return None if big.isEmpty() else big
 
 
+def _crowded_keys(points: DataFrame, key: str) -> DataFrame:
+    return cut_lineage(points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > BLOCK).select(key))
+
+
 def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, find, n: int, feat: str | None = None, mean: bool = False) -> DataFrame:
     """key, qid, rank, pid, d2 (and ``feat`` of every point of that id) of the n first points that ``find`` gives for each query, by group.
 
@@ -141,11 +145,13 @@ def _met(points: DataFrame, queries: DataFrame, key: str, pid: str, qid: str, fi
         more = {"_feat": right["_feat"]} if feat else {}
         return pa.table({key: left[key], "_q": left["_q"], "rank": pa.array(rank, pa.int32()), "_p": right["_p"], "d2": pa.array(d2, pa.float64()), **more})
 
-    if _crowded(queries, key) is None:  # both sides whole, so a table that meets itself is shuffled once
-        q, p = (df.dropna(subset=[key]) for df in (q, p))
-        out = q.groupBy(key).cogroup(p.groupBy(key)).applyInArrow(lambda x, y: fn(x, y), StructType(fields))
-    else:
-        out = meet(q, p, [key], fn, StructType(fields), by_left=["_q"])
+    q, p = (df.dropna(subset=[key]) for df in (q, p))
+    big = _crowded_keys(queries, key)
+    # groups that aren't listed are whole on both sides, and both are dealt alike, so a table that meets itself is shuffled once
+    x, y = (df.join(F.broadcast(big), key, "left_anti").select(*[F.col(c).alias(c) for c in df.columns]) for df in (q, p))
+    out = x.groupBy(key).cogroup(y.groupBy(key)).applyInArrow(lambda x, y: fn(x, y), StructType(fields))
+    if not big.isEmpty():
+        out = out.unionByName(meet(q.join(big, key, "left_semi"), p.join(big, key, "left_semi"), [key], fn, StructType(fields), by_left=["_q"]))
     if mean:
         return out.withColumnRenamed("_q", qid)
     return out.select(key, F.col("_q").alias(qid), "rank", F.col("_p").alias(pid), "d2", *([F.col("_feat").alias(feat)] if feat else []))
